@@ -1,4 +1,6 @@
 """All registered queries of the engine and their SQL."""
 
-QUERIES: dict = {}
-SQL: dict = {}
+from sedimenta.plans import pairs, texts
+
+QUERIES: dict = pairs.QUERIES | texts.QUERIES
+SQL: dict = pairs.SQL | texts.SQL

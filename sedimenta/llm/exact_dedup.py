@@ -61,11 +61,11 @@ class DigestIndex:
         order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
         groups = dig.groupBy("digest").agg(F.min(order).alias("low"), F.count(F.lit(1)).alias("group_size"))
         groups = materialise(groups.select("digest", "group_size", F.col("low.doc_id").alias("keep_id"), F.col("low.row").alias("keep_row")), "dedup-groups")
-        held = materialise(groups.select("digest").join(self.rows().hint("merge"), "digest").select("digest", F.col("keep_id").alias("held_id")), "dedup-held")
+        held = materialise(groups.select("digest").join(self.rows().hint("merge"), "digest").select("digest", F.col("keep_id").alias("held_id"), F.lit(True).alias("held")), "dedup-held")
         fresh = groups.hint("merge").join(self.rows(), "digest", "left_anti")
         self.append(fresh)
         verdicts = groups.join(held, "digest", "left").select(
-            "digest", "group_size", F.coalesce("held_id", "keep_id").alias("keep_id"), F.when(F.col("held_id").isNull(), F.col("keep_row")).alias("keep_row")
+            "digest", "group_size", F.when(F.col("held"), F.col("held_id")).otherwise(F.col("keep_id")).alias("keep_id"), F.when(F.col("held").isNull(), F.col("keep_row")).alias("keep_row")
         )
         verdicts = materialise(verdicts, "dedup-verdicts")
         # Both sides are plain scans, so a digest that holds a third of all rows is split by adaptive execution.

@@ -43,6 +43,8 @@ BYTE = np.random.Generator(np.random.PCG64(20240229)).integers(1, 1 << 63, 256,
 BASE = (U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F))
 INVERSE = tuple(U(pow(int(b), -1, 1 << 64)) for b in BASE)
 STRETCH, GRAMS, EDGE = 0, 1, 2
+#: Column of the group number, beside the documents' own columns.
+GROUP = "__group"
 
 
 class Powers:
@@ -312,25 +314,25 @@ class Grouped:
                         g, docs_in, bytes_in = g + 1, 0, 0
                     docs_in, bytes_in = docs_in + 1, bytes_in + n
                     out.append(g)
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64()), *batch.columns], names=["g", *batch.schema.names])
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64()), *batch.columns], names=[GROUP, *batch.schema.names])
 
         kept = docs.select(*columns)
-        schema = "g long, " + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
+        schema = f"{GROUP} long, " + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
         self.name = f"grouped_{uuid.uuid4().hex[:12]}"
-        kept.mapInArrow(number, schema).repartition(self.parts, "g").write.format("parquet").bucketBy(self.parts, "g").saveAsTable(self.name)
+        kept.mapInArrow(number, schema).repartition(self.parts, GROUP).write.format("parquet").bucketBy(self.parts, GROUP).saveAsTable(self.name)
         self.table = spark.table(self.name)
 
     def join(self, found: DataFrame | None, run, schema: str) -> DataFrame:
         """run(texts of a group, its answers) for every group."""
         found = found if found is not None else self.spark.createDataFrame([], "g long, level int, blob binary")
-        return self.table.groupBy("g").cogroup(found.groupBy("g")).applyInArrow(lambda left, right: run(left, answered(right)), schema)
+        return self.table.groupBy(GROUP).cogroup(found.groupBy("g")).applyInArrow(lambda left, right: run(left, answered(right)), schema)
 
 
 def ask(grouped: Grouped, level: int, found: DataFrame | None) -> DataFrame:
     parts = 2 * grouped.parts
 
     def run(left: pa.Table, answer: dict) -> pa.Table:
-        g = left.column("g")[0].as_py() if left.num_rows else 0
+        g = left.column(GROUP)[0].as_py() if left.num_rows else 0
         out = requests(group_of(left), level, answer, parts) if left.num_rows else []
         return pa.table({"p": pa.array([p for p, _ in out], pa.int32()), "g": pa.array([g] * len(out), pa.int64()), "blob": pa.array([b for _, b in out], pa.binary())})
 

@@ -148,6 +148,8 @@ def fit(docs: list[tuple[str, int]], rounds: int = 35) -> Tagger:
                 lengths.append(len(ids))
     if names and rows:
         crf(tagger, rows, tags, rounds)
+    if not docs:
+        return tagger
     x, y = [], []
     cue = Memo(tagger.cue)
     for seq, (_, toxic) in zip(words, docs, strict=True):
@@ -233,13 +235,13 @@ def train(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Tagger:
     return fit(sample(docs, labels, size))
 
 
-def tag(docs: DataFrame, tagger: Tagger, columns: list[str] | None = None) -> DataFrame:
-    """columns of docs (doc_id by default), toxic_score and toxic_spans (start, end in characters)."""
+def tag(docs: DataFrame, tagger: Tagger, columns: list[str] | None = None, score: str = "toxic_score", spans: str = "toxic_spans") -> DataFrame:
+    """columns of docs (doc_id by default), the score and the toxic spans (start, end in characters)."""
     small_text_batches(docs.sparkSession)
     keep = columns or ["doc_id"]
     model = docs.sparkSession.sparkContext.broadcast(tagger)
     fields = [f for f in docs.select(*keep).schema.fields]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", toxic_score double, toxic_spans array<struct<start:int,end:int>>"
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + f", `{score}` double, `{spans}` array<struct<start:int,end:int>>"
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
     read_cols = [*keep, *(["text"] if "text" not in keep else [])]
 
@@ -248,8 +250,8 @@ def tag(docs: DataFrame, tagger: Tagger, columns: list[str] | None = None) -> Da
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             found = [model.value.tag(t, cues) for t in texts(batch)]
-            spans = pa.array([[{"start": a, "end": b} for a, b in x[1]] for x in found], kind)
-            return pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array([x[0] for x in found], pa.float64()), spans], names=[*keep, "toxic_score", "toxic_spans"])
+            places = pa.array([[{"start": a, "end": b} for a, b in x[1]] for x in found], kind)
+            return pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array([x[0] for x in found], pa.float64()), places], names=[*keep, score, spans])
 
         return step
 

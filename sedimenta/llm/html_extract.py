@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm.common import map_rows, read, small_text_batches, texts
+from sedimenta.llm.common import map_rows, materialise, read, small_text_batches, texts
 
 #: Bound of the labelled sample: pages with the smallest hash of their id.
 SAMPLE = 1000
@@ -207,8 +207,10 @@ def learn(pages: list[str]) -> dict[str, float]:
 
 
 def train(pages: DataFrame, size: int = SAMPLE) -> dict[str, float]:
-    ids = pages.select("page_id", "html").where("html is not null").orderBy(F.xxhash64("page_id"), "page_id").limit(size)
-    return learn([r["html"] for r in ids.collect()])  # bounded: `size` pages
+    rows = pages.select("page_id", "html").where("html is not null and page_id is not null")
+    ids = materialise(rows.select("page_id").orderBy(F.xxhash64("page_id"), "page_id").limit(size), "html-sample")
+    # Ids first, so that tasks send ids alone to the driver; pages of the chosen ids follow, `size` at most.
+    return learn([r["html"] for r in rows.join(F.broadcast(ids.distinct()), "page_id", "left_semi").limit(size).collect()])
 
 
 def extract(pages: DataFrame, weights: dict[str, float]) -> DataFrame:

@@ -1,6 +1,6 @@
 """All registered queries of the engine and their SQL."""
 
-from sedimenta.plans import pairs, texts
+from sedimenta.plans import pairs, records, texts
 
-QUERIES: dict = pairs.QUERIES | texts.QUERIES
-SQL: dict = pairs.SQL | texts.SQL
+QUERIES: dict = pairs.QUERIES | texts.QUERIES | records.QUERIES
+SQL: dict = pairs.SQL | texts.SQL | records.SQL

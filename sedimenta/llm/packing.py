@@ -306,7 +306,8 @@ def pack(docs: DataFrame, path: str, size: int = SIZE) -> DataFrame:
     table = {n: np.array(sorted(r), np.int64) for n, r in runs.items()}
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     starts = materialise(counts.select("length", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")), "pack-starts")
-    ranked = cut.join(starts, ["length", "task"]).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("base") + F.col("nth")).alias("rank"))
+    # The starts grow with the number of tasks, so they are merged and not broadcast.
+    ranked = cut.join(starts.hint("merge"), ["length", "task"]).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("base") + F.col("nth")).alias("rank"))
     placed = spark.sparkContext.broadcast(table)  # bounded by the number of runs, which follows from `size` and the groups
 
     def make():

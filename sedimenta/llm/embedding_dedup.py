@@ -242,7 +242,9 @@ def near_groups(embeddings: DataFrame, threshold: float = THRESHOLD) -> DataFram
     grids = {}
     n = nodes.count()
     for dim in dims:
-        got = nodes.where(F.octet_length("vector") == 8 * dim).orderBy("code").limit(SAMPLE).select("label", "vector").collect()  # bounded
+        of_dim = nodes.where(F.octet_length("vector") == 8 * dim)
+        chosen = F.broadcast(of_dim.select("code").orderBy("code").limit(SAMPLE))  # codes first: tasks send no vectors to choose from
+        got = of_dim.join(chosen, "code", "left_semi").orderBy("code").select("label", "vector").collect()  # at most SAMPLE rows
         grids[dim] = Grid(np.frombuffer(b"".join(r["vector"] for r in got), np.float64).reshape(len(got), dim), np.array([r["label"] for r in got]), n, threshold)
     key = ["label", "dim", "cell", "bh", "bq"]
     rows_in = materialise(placed(nodes, grids), "vectors-placed")

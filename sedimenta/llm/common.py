@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -58,6 +59,15 @@ def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.RecordB
     return df.mapInArrow(run, schema)
 
 
+def trim() -> None:
+    """Give freed memory back to the system: a Python worker lives on after a task, and with it what its allocators hold."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # not this C library's
+        pass
+
+
 def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return [t or "" for t in batch.column(name).to_pylist()]
 

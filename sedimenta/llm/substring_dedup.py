@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm.common import materialise, read, small_text_batches
+from sedimenta.llm.common import materialise, read, small_text_batches, trim
 
 WINDOW, GRAM, CUT_GRAM, CUT = 13, 7, 4, 48
 GROUP_BYTES, GROUP_DOCS = 1 << 20, 1024
@@ -262,7 +262,9 @@ def answers(level: int):
         keys, owner, source = keys[hit], owner[hit], source[hit]
         order = np.argsort(source, kind="stable")  # keys stay sorted within a group
         keys, owner, source = keys[order], owner[order], source[order]
-        cuts = np.searchsorted(source, np.arange(len(parts) + 1))
+        cuts = np.searchsorted(source, np.arange(len(groups) + 1))
+        del parts, least, most, order, hit
+        trim()
         out = [(g, keys[a:b].tobytes() + (b"" if level == GRAMS else owner[a:b].tobytes())) for g, a, b in zip(groups, cuts[:-1], cuts[1:], strict=True) if a < b]
         level_of = [level] * len(out)
         return pa.table({"g": pa.array([g for g, _ in out], pa.int64()), "level": pa.array(level_of, pa.int32()), "blob": pa.array([x for _, x in out], pa.binary())})
@@ -325,7 +327,13 @@ class Grouped:
     def join(self, found: DataFrame | None, run, schema: str) -> DataFrame:
         """run(texts of a group, its answers) for every group."""
         found = found if found is not None else self.spark.createDataFrame([], "g long, level int, blob binary")
-        return self.table.groupBy(GROUP).cogroup(found.groupBy("g")).applyInArrow(lambda left, right: run(left, answered(right)), schema)
+
+        def one(left: pa.Table, right: pa.Table) -> pa.Table:
+            out = run(left, answered(right))
+            trim()
+            return out
+
+        return self.table.groupBy(GROUP).cogroup(found.groupBy("g")).applyInArrow(one, schema)
 
 
 def ask(grouped: Grouped, level: int, found: DataFrame | None) -> DataFrame:

@@ -355,3 +355,49 @@ def test_sql(spark):
         names = [d[0] for d in cursor.description]
         got = query(spark, "/root/testdata/sf0.001").select(*names).collect()
         assert Counter(tuple(r) for r in got) == Counter(cursor.fetchall())
+
+
+def brute_shingles(text):
+    w = (text or "").encode().lower().split()
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+
+
+def alike(a, b):
+    return 5 * len(a & b) >= 4 * len(a | b)
+
+
+def near_texts():
+    """Texts of 40 to 300 words with copies edited to similarities around 0.7 to 0.97, a common passage, and a large group of near copies."""
+    rnd = random.Random(8)
+    vocabulary = [f"v{i}" for i in range(3000)]
+    texts = []
+    for i in range(30):
+        base = [rnd.choice(vocabulary) for _ in range(rnd.randint(40, 300))]
+        texts.append(" ".join(base))
+        for share in (0.005, 0.01, 0.02, 0.03, 0.04):
+            texts.append(" ".join(rnd.choice(vocabulary) if rnd.random() < share else w for w in base))
+    passage = [rnd.choice(vocabulary) for _ in range(60)]
+    texts += [" ".join([*passage, *(rnd.choice(vocabulary) for _ in range(rnd.randint(2, 40)))]) for _ in range(50)]
+    hub = [rnd.choice(vocabulary) for _ in range(120)]
+    for _ in range(90):
+        copy = list(hub)
+        for _ in range(rnd.randint(1, 4)):
+            copy[rnd.randrange(120)] = rnd.choice(vocabulary)
+        texts.append(" ".join(copy))
+    texts += ["", "  ", None, "one two", "ONE two", "one two three four five"]
+    rnd.shuffle(texts)
+    return texts
+
+
+@pytest.mark.parametrize("crowd", [32, 2])
+def test_near_dedup(spark, crowd, monkeypatch):
+    from sedimenta.llm import near_dedup
+
+    monkeypatch.setattr(near_dedup, "CROWD", crowd)
+    texts = near_texts()
+    sets = [brute_shingles(t) for t in texts]
+    low = brute_components(list(range(len(texts))), lambda i, j: alike(sets[i], sets[j]))
+    assert sum(0.8 <= len(sets[i] & sets[j]) / len(sets[i] | sets[j]) <= 0.95 for i in range(len(sets)) for j in range(i)) > 50
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    got = [r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, df, "").collect()]
+    assert sorted(got) == sorted(set(low))

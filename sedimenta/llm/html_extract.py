@@ -45,11 +45,12 @@ FLOW = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd pre blockquote table the
 DEFAULT = {"word": 1.0, "link": -1.0, "tag": -2.0, "boiler": -1.0} | dict.fromkeys(FLOW | INLINE, -0.5)
 
 
-def boiler(name: str, attrs: str) -> bool:
-    if name in DROP:
-        return True
-    if not attrs or name in ("body", "html", *MAIN):
-        return False
+#: What an article or main inside can't be the page's own: teasers and the like.
+HIDES = (DROP | {"header"}) - {"form", "fieldset"}
+
+
+def named(attrs: str) -> bool:
+    """A class, id or role that names what isn't main text."""
     for found in ATTR.finditer(attrs):
         value = found[2] or found[3] or found[4] or ""
         if NAMES & set(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", value).lower())):
@@ -58,10 +59,10 @@ def boiler(name: str, attrs: str) -> bool:
 
 
 class Page:
-    """Pieces of text with their block and element, in page order; elements as (name, parent, first piece, piece after the last, boilerplate)."""
+    """Pieces of text with their block and element, in page order; elements as (name, parent, first piece, piece after the last, boilerplate, named so)."""
 
     def __init__(self, source: str):
-        self.elements: list[list] = [["", -1, 0, 0, False]]
+        self.elements: list[list] = [["", -1, 0, 0, False, False]]
         self.pieces: list[tuple[str, int, int]] = []  # text, element, number of the block
         self.tags: list[tuple[int, str]] = []  # (pieces before it, tag name)
         stack, at, block = [0], 0, 0
@@ -95,12 +96,42 @@ class Page:
             elif name == "li" and self.elements[stack[-1]][0] == "li":
                 self.close(stack)
             if not found[4].rstrip().endswith("/") or name not in ("svg", "path"):
-                self.elements.append([name, stack[-1], len(self.pieces), 0, self.elements[stack[-1]][4] or boiler(name, found[4]) or (name == "header" and not any(self.elements[e][0] in MAIN for e in stack))])
+                self.elements.append([name, stack[-1], len(self.pieces), 0, name in DROP or (name == "header" and not any(self.elements[e][0] in MAIN for e in stack)), bool(found[4]) and name not in ("body", "html") and named(found[4])])
                 stack.append(len(self.elements) - 1)
         if at < len(source):
             self.pieces.append((source[at:], stack[-1], block))
         while stack:
             self.close(stack)
+        self.mark()
+
+    def mark(self) -> None:
+        """Settle what is boilerplate, from the elements' own tags and names; it goes on to all inside.
+
+        A name doesn't count on an element that holds an article or main (an outermost one without such a name), nor, if all of these
+        are within named elements, on one that holds most of the page's unlinked words. Such an article or main is no boilerplate
+        for what is around it, unless that is a menu, footer or the like.
+        """
+        elements = self.elements
+        hidden, linked, within, marked, outer = ([False] * len(elements) for _ in range(5))
+        for i, (name, parent, _, _, drop, _) in enumerate(elements):
+            up = parent if parent >= 0 else i
+            hidden[i] = hidden[up] or (drop and name in HIDES)
+            linked[i] = linked[up] or name == "a"
+            outer[i] = name in MAIN and not elements[i][5] and not hidden[i] and not marked[up]
+            marked[i] = marked[up] or outer[i]
+            within[i] = within[up] or (elements[i][5] and name not in MAIN)
+        holds = [False] * len(elements)
+        for i in range(len(elements) - 1, 0, -1):
+            if outer[i] or holds[i]:
+                holds[elements[i][1]] = True
+        words = [0]
+        for text, element, _ in self.pieces:
+            words.append(words[-1] + (0 if hidden[element] or linked[element] else len(text.split())))
+        unmarked = not any(outer[i] and not within[i] for i in range(len(elements)))
+        for i, e in enumerate(elements):
+            name, parent, first, after, drop, so = e[:6]
+            so = so and name not in MAIN and not holds[i] and not (unmarked and 2 * (words[after] - words[first]) > words[-1])
+            e[4] = drop or so or (parent >= 0 and elements[parent][4] and not outer[i])
 
     def close(self, stack: list[int]) -> None:
         self.elements[stack.pop()][3] = len(self.pieces)
@@ -109,6 +140,8 @@ class Page:
         """The element that the page itself marks as its main part, if there is just one."""
         found = [i for i, e in enumerate(self.elements) if e[0] in MAIN and not e[4]]
         outer = [i for i in found if not any(p in found for p in self.parents(i))]
+        if len(outer) > 1:
+            outer = [i for i in outer if not any(self.elements[p][5] for p in self.parents(i))]
         return outer[0] if len(outer) == 1 else None
 
     def parents(self, i: int):

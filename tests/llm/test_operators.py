@@ -401,3 +401,26 @@ def test_near_dedup(spark, crowd, monkeypatch):
     df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
     got = [r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, df, "").collect()]
     assert sorted(got) == sorted(set(low))
+
+
+def test_html_names_on_layout_wrappers():
+    story = "<h1>Title</h1><p>One two three four five six.</p><p>Seven eight nine ten eleven.</p>"
+    plain = "Title\nOne two three four five six.\nSeven eight nine ten eleven."
+    menu = '<nav><a href="/">Home</a></nav><div class="sidebar"><p>Side words</p></div>'
+
+    def text(body):
+        return html_extract.Page(f"<html><body>{body}</body></html>").text(html_extract.DEFAULT)
+
+    for kind in ("article", "main"):
+        page = f'<div class="content-sidebar-wrap"><div class="page has-sidebar"><{kind} class="x">{story}</{kind}>{menu}</div></div>'
+        assert text(page) == plain and html_extract.Page(page).main() is not None
+    assert text(f'<div class="page has-sidebar"><article class="post no-comments">{story}</article>{menu}</div>') == plain
+    assert text(f'<div class="post no-comments">{story}</div>{menu}') == plain
+    assert text(f'<form id="search"><main>{story}</main></form>{menu}') == plain
+    # Names still count on what isn't the content, with an article inside too.
+    comments = '<div id="comments"><article class="comment"><p>Nice!</p></article><article><p>Not so nice, and at more length than all of the story is, by far, by very far, I would say, if asked.</p></article></div>'
+    assert text(f"<article>{story}{comments}</article>") == plain
+    assert text(f"<article>{story}</article><aside><article><p>Teaser</p></article></aside>{menu}") == plain
+    related = f'<article>{story}</article><div class="related"><article><p>Teaser</p></article></div>'
+    page = html_extract.Page(related)
+    assert text(related) == plain and page.elements[page.main()][2] == 0

@@ -9,6 +9,7 @@ Defined results: null is empty; a text without words has n_words 0, no labels an
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Iterator
 
 import ahocorasick
 import pyarrow as pa
@@ -29,17 +30,24 @@ MORE = {
 TAG = "spdx license identifier"
 #: Word characters: ASCII letters and digits and all that is not ASCII; the rest becomes a space, A-Z lower case.
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32 for c in range(256))
-TAGGED = re.compile(r"spdx[^a-z0-9\n]*license[^a-z0-9\n]*identifier[^a-z0-9(\n]*([^\n]*)", re.I)
-TERM = re.compile(r"\(|\)|[A-Za-z0-9][A-Za-z0-9.\-]*\+?")
+TAGGED = re.compile(r"spdx[^a-z0-9\n]*license[^a-z0-9\n]*identifier[^a-z0-9(\n]*", re.I)
+TERM = re.compile(r"\n|\(|\)|[A-Za-z0-9][A-Za-z0-9.\-]*\+?")
 FAMILY = re.compile(r"^(agpl|lgpl|gpl|apache|mit|bsd|mpl|epl|cc0|cc-by-sa|cc-by-nc|cc-by-nd|cc-by|isc|bsl|unlicense)(?![a-z])")
 BINDS = {"or": 1, "and": 2, "with": 3}
 
 
-def postfix(tokens: list[str]) -> list[str]:
-    """Shunting-yard: `with` binds before `and` before `or`. Reading stops where no expression can go on."""
+def postfix(tokens: Iterable[str]) -> list[str]:
+    """Shunting-yard: `with` binds before `and` before `or`. Reading stops where no expression can go on.
+
+    A line end stops it too, unless a bracket is open or an operator has no right side yet.
+    """
     out, stack, operand = [], [], True
     for token in tokens:
         low = token.lower()
+        if token == "\n":
+            if stack and (operand or "(" in stack):
+                continue
+            break
         if operand and low not in BINDS and token not in "()":
             out.append(token)
             operand = False
@@ -81,7 +89,14 @@ def evaluate(rpn: list[str]) -> list[set[str]]:
 
 
 def expression(text: str) -> list[set[str]]:
-    return evaluate(postfix(TERM.findall(text)))
+    return evaluate(postfix(found[0] for found in TERM.finditer(text)))
+
+
+def tagged_expressions(text: str) -> Iterator[list[set[str]]]:
+    """What stands after each tag, up to the next one."""
+    tags = list(TAGGED.finditer(text))
+    for found, after in zip(tags, [*tags[1:], None], strict=True):
+        yield evaluate(postfix(term[0] for term in TERM.finditer(text, found.end(), after.start() if after else len(text))))
 
 
 def label_of(licence: str) -> str:
@@ -120,8 +135,8 @@ def scan(data: bytes, auto: ahocorasick.Automaton) -> tuple:
             labels.add(MORE[phrase])
     share = 0.0
     if tagged:
-        for found in TAGGED.finditer(data.decode("utf-8", "replace")):
-            for group in expression(found[1]):
+        for groups in tagged_expressions(data.decode("utf-8", "replace")):
+            for group in groups:
                 labels |= {label_of(x) for x in group}
                 share = 1.0
     labels |= base

@@ -424,3 +424,17 @@ def test_html_names_on_layout_wrappers():
     related = f'<article>{story}</article><div class="related"><article><p>Teaser</p></article></div>'
     page = html_extract.Page(related)
     assert text(related) == plain and page.elements[page.main()][2] == 0
+
+
+def test_license_tags_on_one_line_and_over_line_ends():
+    auto = licenses.automaton()
+
+    def labels(text):
+        return licenses.scan(text.encode(), auto)[5]
+
+    assert labels("SPDX-License-Identifier: MIT one two SPDX-License-Identifier: Zlib") == "mit,zlib"
+    assert labels("/* SPDX-License-Identifier: MIT */ f(x); " * 2 + "// SPDX-License-Identifier: (ISC OR 0BSD) z") == "0bsd,isc,mit"
+    assert labels("# SPDX-License-Identifier: (MIT OR\n#   Zlib)\n# AND Apache-2.0") == "mit,zlib"
+    assert labels("// SPDX-License-Identifier: MIT OR\n// Zlib\n// or BSD-3-Clause") == "mit,zlib"
+    assert labels("SPDX-License-Identifier: MIT\nand more") == "mit" and labels("SPDX-License-Identifier:\nMIT") == ""
+    assert labels("SPDX-License-Identifier: SPDX-License-Identifier: MIT OR") == "mit"

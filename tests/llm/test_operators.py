@@ -438,3 +438,14 @@ def test_license_tags_on_one_line_and_over_line_ends():
     assert labels("// SPDX-License-Identifier: MIT OR\n// Zlib\n// or BSD-3-Clause") == "mit,zlib"
     assert labels("SPDX-License-Identifier: MIT\nand more") == "mit" and labels("SPDX-License-Identifier:\nMIT") == ""
     assert labels("SPDX-License-Identifier: SPDX-License-Identifier: MIT OR") == "mit"
+
+
+def test_near_dedup_decides_by_row(spark):
+    rnd = random.Random(2)
+    a, b, c, d = ([f"x{rnd.randrange(9999)}" for _ in range(100)] for _ in range(4))
+    # 7 stands for a near copy of 3 and for a text of its own; the two of id 1 are near copies; so are the two without an id.
+    rows = [(3, a), (7, [*a, "end"]), (7, b), (1, c), (1, [*c, "end"]), (None, d), (None, [*d, "end"])]
+    df = spark.createDataFrame([(i, " ".join(t), "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_copies(spark, df, "").collect()]
+    assert Counter(i for i, _ in got) == Counter([3, 7, 1, None])
+    assert (3, " ".join(a)) in got and (7, " ".join(b)) in got

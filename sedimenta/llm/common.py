@@ -32,6 +32,14 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that none of df's columns has, in whatever case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: the lineage ends there and a lost executor costs nothing."""
     path = shared_dir(df.sparkSession, name)

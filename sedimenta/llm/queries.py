@@ -16,4 +16,4 @@ QUERIES = {
     "op10_embedding_dedup": embedding_dedup.op10_embedding_dedup,
     "pipeline": corpus_pipeline.run,
 }
-SQL = {"op1_exact_dedup": exact_dedup.SQL, "op4_warc": warc.SQL}
+SQL = {"op1_exact_dedup": exact_dedup.SQL, "op4_warc": warc.SQL, "op8_substring_dedup": substring_dedup.SQL}

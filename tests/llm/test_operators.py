@@ -286,6 +286,41 @@ def test_substring_dedup(spark, sf, docs, group, monkeypatch):
     assert Counter(tuple(r) for r in substring_dedup.op8_substring_dedup(spark, sf).collect()) == want
 
 
+def test_substring_dedup_tells_long_words_and_orders_apart(spark, tmp_path):
+    """Words and passages in the two orders of a Thue-Morse sequence, which polynomials modulo a power of two can't tell apart."""
+    a = "".join("ab"[i.bit_count() % 2] for i in range(2048))
+    b = "".join("ba"[i.bit_count() % 2] for i in range(2048))
+    head = " ".join(f"h{i}" for i in range(12))
+    rows = [(1, f"{head} {a}"), (2, f"{head} {b}"), (3, " ".join(a)), (4, " ".join(b)), (5, f"{head} {a} end"), (6, "\u00a0".join("abc")), (7, " ".join("abcdefghijklm") + "\x0b\x0c n")]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r["n_removed"] for r in substring_dedup.op8_substring_dedup(spark, str(tmp_path)).collect()}
+    assert got[2] == 0 and got[5] == 13 and got[1] == got[3] == got[6] == got[7] == 0
+    conn = duckdb.connect()
+    conn.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert {(d, n) for d, _, n, _ in conn.execute(substring_dedup.SQL).fetchall()} == set(got.items())
+
+
+def test_substring_spans_are_verified(spark, monkeypatch):
+    """Labels that don't tell words apart are found out at the source's coordinates."""
+    rnd = random.Random(1)
+    rows = [(i, " ".join(f"{i}w{rnd.randrange(9**9)}" for _ in range(40))) for i in range(2)]
+
+    def same(self, low, high):
+        return np.ones((len(low), 2), np.uint64)
+
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert substring_dedup.remove(df).count() == 2
+    own = substring_dedup.Group([0, 1], [t.encode() for _, t in rows])
+    monkeypatch.setattr(substring_dedup.Group, "labels", same)
+    wrong = substring_dedup.Group([0, 1], [t.encode() for _, t in rows])
+    hits = wrong.spans({substring_dedup.STRETCH: (np.ones((1, 2), np.uint64), np.array([[0, 0, 0]]))})
+    assert len(hits) and all(a != b for a, b in zip(own.digests(hits[:, 0], hits[:, 1]), own.digests(hits[:, 3], hits[:, 1]), strict=True))
+    grouped = substring_dedup.Grouped(df.coalesce(1), ["doc_id", "text"])
+    claim = spark.createDataFrame([(0, 40, 13, 0, 0, bytes(own.digests(np.array([40]), np.array([13]))[0]))], substring_dedup.SPANS)
+    with pytest.raises(ValueError, match="differ"):
+        substring_dedup.verified(grouped, claim)
+
+
 def test_license_scan(spark, sf, docs):
     word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     got = Counter(tuple(r)[:6] for r in licenses.op9_license_scan(spark, sf).collect())
@@ -350,7 +385,7 @@ def test_sql(spark):
     duck = duckdb.connect()
     for t in ("documents", "pages"):
         duck.execute(f"CREATE VIEW {t} AS SELECT * FROM '/root/testdata/sf0.001/{t}.parquet'")
-    for query, sql in ((exact_dedup.op1_exact_dedup, exact_dedup.SQL), (warc.op4_warc, warc.SQL)):
+    for query, sql in ((exact_dedup.op1_exact_dedup, exact_dedup.SQL), (warc.op4_warc, warc.SQL), (substring_dedup.op8_substring_dedup, substring_dedup.SQL)):
         cursor = duck.execute(sql)
         names = [d[0] for d in cursor.description]
         got = query(spark, "/root/testdata/sf0.001").select(*names).collect()

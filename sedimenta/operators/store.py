@@ -1,18 +1,22 @@
 """The store: Parquet tables of declared schema, written as new versions and switched by one small pointer file.
 
-A change computes the new table, writes it beside the old one and then renames the pointer, so readers see all of a change or none.
+A change computes the new table, writes it beside the old one and then creates the next pointer file, so readers see all of a change or
+none, and of two writers that start from one version just one gets through.
 Tables that only grow get their new rows as a further part of the same version list; nothing is rewritten for an append.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sedimenta.sources import files
+
 SCHEMAS = {
     "source": "source_id int, name string, kind string, notes string",
     "domain": "domain string, tld string, discovered_source int, discovered_round int, first_seen_at timestamp",
@@ -31,22 +35,30 @@ KEYS = {
 SOURCE_KINDS = ("timestamped", "candidate_only")
 
 
+POINTER = re.compile(r"current-[0-9]{10}\.json")
+
+
+def _pointer(version: int) -> str:
+    return f"current-{version:010d}.json"
+
+
+class Conflict(RuntimeError):
+    """Another change was committed first."""
+
+
 class Store:
     """Tables below `base`, a folder that the driver and all executors share."""
 
     def __init__(self, spark: SparkSession, base: str):
         self.spark, self.base = spark, base.rstrip("/")
 
-    def _fs(self, path: str):
-        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return at.getFileSystem(self.spark._jsc.hadoopConfiguration()), at
+    def version(self) -> tuple[int, dict[str, list[str]]]:
+        """The number of the last change, and table -> the folders that make it up."""
+        last = max((int(n[8:-5]) for n in files.names(self.spark, self.base) if POINTER.fullmatch(n)), default=0)
+        return last, json.loads(files.read_text(self.spark, f"{self.base}/{_pointer(last)}")) if last else {}
 
     def parts(self) -> dict[str, list[str]]:
-        """Table -> the folders that make it up, as the pointer says."""
-        fs, at = self._fs(f"{self.base}/current.json")
-        if not fs.exists(at):
-            return {}
-        return json.loads(self.spark.read.text(f"{self.base}/current.json", wholetext=True).first()[0])
+        return self.version()[1]
 
     def table(self, name: str) -> DataFrame:
         """The table; columns that an older part lacks are null."""
@@ -59,37 +71,45 @@ class Store:
         want = self.spark.createDataFrame([], SCHEMAS[name]).schema
         return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in want])
 
-    def commit(self, append: dict[str, DataFrame] | None = None, replace: dict[str, DataFrame] | None = None) -> None:
-        """All tables of a change at once: written first, switched by one rename."""
-        now = self.parts()
-        for changes, keep in ((append or {}, True), (replace or {}, False)):
+    def commit(self, append: dict[str, DataFrame] | None = None, replace: dict[str, DataFrame] | None = None, since: int | None = None) -> None:
+        """All tables of a change at once: written first, then switched by one new pointer file.
+
+        A change that replaces tables, or that names the version it was made from (`since`), fails with Conflict if another change came
+        between; one that only appends is put after it.
+        """
+        base = self.version()[0] if since is None else since
+        written = {}
+        for keep, changes in ((True, append or {}), (False, replace or {})):
             for name, df in changes.items():
                 path = f"{self.base}/{name}/{uuid.uuid4().hex}"
                 self._shape(name, df).write.option("compression", "zstd").parquet(path)
+                written[name] = (keep, path)
+        while True:
+            at, now = self.version()
+            if at != base and (replace or since is not None):
+                raise Conflict(f"version {at} came after version {base}")
+            for name, (keep, path) in written.items():
                 now[name] = (now.get(name, []) if keep else []) + [path]
-        fs, staged = self._fs(f"{self.base}/current-{uuid.uuid4().hex}.json")
-        out = fs.create(staged, True)
-        out.write(bytearray(json.dumps(now).encode()))
-        out.close()
-        target = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.base}/current.json")
-        context = self.spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), self.spark._jsc.hadoopConfiguration())
-        overwrite = self.spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-        options = self.spark.sparkContext._gateway.new_array(self.spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
-        options[0] = overwrite
-        context.rename(fs.makeQualified(staged), fs.makeQualified(target), options)
+            if files.create_once(self.spark, f"{self.base}/{_pointer(at + 1)}", json.dumps(now)):
+                return
 
     def source_id(self, name: str, kind: str, notes: str | None = None) -> int:
         """The source's id, given out on first use. A source keeps its kind."""
         if kind not in SOURCE_KINDS:
             raise ValueError(f"no such kind of source: {kind}")
-        held = self.table("source").where(F.col("name") == name).select("source_id", "kind").first()
-        if held:
-            if held["kind"] != kind:
-                raise ValueError(f"source {name} is {held['kind']}, not {kind}")
-            return held["source_id"]
-        new = (self.table("source").agg(F.max("source_id")).first()[0] or 0) + 1
-        self.commit(append={"source": self.spark.createDataFrame([(new, name, kind, notes)], SCHEMAS["source"])})
-        return new
+        while True:
+            at = self.version()[0]
+            held = self.table("source").where(F.col("name") == name).select("source_id", "kind").first()
+            if held:
+                if held["kind"] != kind:
+                    raise ValueError(f"source {name} is {held['kind']}, not {kind}")
+                return held["source_id"]
+            new = (self.table("source").agg(F.max("source_id")).first()[0] or 0) + 1
+            try:
+                self.commit(append={"source": self.spark.createDataFrame([(new, name, kind, notes)], SCHEMAS["source"])}, since=at)
+                return new
+            except Conflict:  # somebody else added a source meanwhile: look again
+                continue
 
     def drop_source(self, source_id: int) -> None:
         """All rows that rest on a source go: its evidence, the years on that evidence, the domains that it alone discovered."""
@@ -113,9 +133,28 @@ def only_new(rows: DataFrame, held: DataFrame, keys: list[str], order: list[Colu
     return one.join(held.select(*keys), keys, "left_anti")
 
 
-def numbered(rows: DataFrame, key: list[str]) -> DataFrame:
-    """rows with an evidence_id that follows from their content, so that a repeated or retried run gives the same ids."""
-    return rows.withColumn("evidence_id", F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in key]))
+def numbered(rows: DataFrame, key: list[str], salt: int = 0) -> DataFrame:
+    """rows with an evidence_id that follows from their content, so that a repeated or retried run gives the same ids.
+
+    64 bits can't tell 10^10 rows apart for sure; `new_numbered` gives a row whose id another row has an id of its own.
+    """
+    content = F.sha2(F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in key], F.lit(str(salt) if salt else "")), 256)
+    return rows.withColumn("evidence_id", F.conv(F.left(content, F.lit(16)), 16, -10).cast("long"))
+
+
+def new_numbered(rows: DataFrame, held: DataFrame, key: list[str]) -> DataFrame:
+    """Insert-or-ignore by content: rows (one each) whose key columns held lacks, with ids that neither held nor another row has."""
+    same = [F.col(f"n.{c}").eqNullSafe(F.col(f"h.{c}")) for c in key]
+    new = rows.dropDuplicates(key).alias("n").join(held.select(*key).alias("h"), same, "left_anti")
+    out, salt = numbered(new, key), 0
+    while True:
+        twice = out.groupBy("evidence_id").agg(F.count("*").alias("n")).where("n > 1").select("evidence_id")
+        taken = out.join(held.select("evidence_id"), "evidence_id", "left_semi").select("evidence_id").union(twice).distinct()
+        if taken.isEmpty():  # but for one case in billions
+            return out
+        salt += 1
+        again = numbered(out.join(taken, "evidence_id", "left_semi").drop("evidence_id"), key, salt)
+        out = out.join(taken, "evidence_id", "left_anti").unionByName(again)
 
 
 def fingerprint(df: DataFrame) -> DataFrame:

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from sedimenta.operators import checks, ingest
-from sedimenta.operators.store import SCHEMAS, Store, fingerprint, numbered, only_new
+from sedimenta.operators import store
+from sedimenta.operators.store import SCHEMAS, Conflict, Store, fingerprint, new_numbered, numbered, only_new
 
 S = "19970203040506"
 NOW = datetime.datetime(2024, 1, 1)
@@ -154,6 +155,31 @@ def test_store(spark, tmp_path):
     assert ids.select("evidence_id").distinct().count() == 3
 
 
+def test_of_two_writers_one_gets_through(spark, tmp_path):
+    st = Store(spark, f"file://{tmp_path}")
+    t = clean(spark)
+    st.commit(append={"domain": t["domain"]})
+    at = st.version()[0]
+    st.commit(append={"evidence": t["evidence"]})  # another writer
+    with pytest.raises(Conflict):
+        st.commit(append={"domain": t["domain"]}, since=at)
+    st.commit(append={"domain": t["domain"].where("domain = 'a.com'")})  # appends alone come after one another
+    assert st.table("domain").count() == 3 and st.table("evidence").count() == 3 and st.version()[0] == 3
+
+
+def test_equal_ids_of_unequal_rows_lose_no_row(spark, monkeypatch):
+    key = ["domain", "evidence_value"]
+    whole = store.numbered
+
+    def narrow(rows, key, salt=0):  # all ids equal until they are salted
+        return whole(rows, key, salt) if salt else rows.withColumn("evidence_id", F.lit(1).cast("long"))
+
+    monkeypatch.setattr(store, "numbered", narrow)
+    rows = evidence(spark, CLEAN).drop("evidence_id")
+    got = new_numbered(rows.union(rows), evidence(spark, CLEAN[:1]), key)
+    assert got.count() == got.select("evidence_id").distinct().count() == 2
+
+
 def test_ledger(spark):
     led = spark.createDataFrame([("s", "a", "1", 5, NOW)], SCHEMAS["ingested_file"])
     new, changed = ingest.fresh_files(spark.createDataFrame([("a", "1"), ("b", "2"), ("a", "9")], "file_name string, sha256 string"), led, "s")

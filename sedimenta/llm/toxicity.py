@@ -1,15 +1,19 @@
 """Toxicity by a linear-chain conditional random field over words.
 
-Training (driver, a bounded sample of labelled rows): words and word beginnings whose share among toxic documents is far
-above their share among the others are cues; in toxic documents words with a cue are labelled toxic, all other words
-are not. A two-label CRF with cue weights and transitions is fitted to sentences by its exact gradient; a logistic curve
+Training (driver, a bounded sample of labelled rows): the tables label documents, not words, so word labels are derived: words and word
+beginnings whose share among toxic documents is far above their share among the others are cues; in toxic documents words with
+a cue are labelled toxic, all other words are not. A two-label CRF with cue weights and transitions is fitted to the sentences by its exact
+gradient, equal sentences counted by their number and sentences without a cue by their length; a logistic curve
 turns a document's marginals into its score.
 
 Scoring (executors, whole texts): forward-backward over every word. Words without a cue all share one potential, so a
 gap of k of them is the k-th power of one 2x2 matrix and only cue words cost a step; the marginals are exact.
 
-Defined results: null is empty; a text without cue words has the score of none, below 0.5. labels, lang, source and doc_id
-are never inputs of a score.
+Defined results: null is empty; a text without cue words, the empty one included, has the score of none, below 0.5 wherever both classes were
+learnt from. Rows that repeat an id are scored each by its text; in the sample an id counts once, with its least text and as
+toxic if any of its labels says so, and a text that has both labels counts once under each. Equal texts have equal scores. A text of any length is
+scored whole; training reads whole texts too and its memory follows the distinct sentences. labels, lang, source and doc_id are never inputs of a
+score. `tag` returns any columns of documents, whatever their names, if `score` and `spans` are names that none of them has.
 """
 
 from __future__ import annotations
@@ -105,7 +109,7 @@ class Tagger:
 
     def tag(self, text: str, cues: dict[str, float]) -> tuple[float, list[tuple[int, int]]]:
         """Score, and the character offsets of the words whose marginal is at least a half."""
-        words = WORD.findall(text.lower())
+        words = split(text)
         got = list(map(cues.__getitem__, words))
         if not any(got):
             return self.score(np.zeros(0)), []
@@ -113,46 +117,48 @@ class Tagger:
         p = self.marginals(at, [got[i] for i in at], len(words))
         spans = []
         if (p >= 0.5).any():
-            low = text.lower()
-            if len(low) == len(text):  # else a letter's lower case is longer and offsets would shift
-                where = {i for i, x in zip(at, p, strict=True) if x >= 0.5}
-                spans = [m.span() for i, m in enumerate(WORD.finditer(low)) if i in where]
+            where = {i for i, x in zip(at, p, strict=True) if x >= 0.5}
+            spans = [m.span() for i, m in enumerate(WORD.finditer(text)) if i in where]
         return self.score(p), spans
 
 
+def split(text: str) -> list[str]:
+    """The words, in lower case, one for each WORD of the text."""
+    low = text.lower()
+    return WORD.findall(low) if len(low) == len(text) else [w.lower() for w in WORD.findall(text)]
+
+
 def cues_of(docs: list[tuple[str, int]]) -> dict[str, float]:
     held = [Counter(), Counter()]
     total = [0, 0]
     for text, toxic in docs:
         total[toxic] += 1
-        held[toxic].update({f for w in set(WORD.findall(text.lower())) for f in features(w)})
+        held[toxic].update({f for w in set(split(text)) for f in features(w)})
     odds = {f: math.log((n + 0.5) / (total[1] + 1)) - math.log((held[0][f] + 0.5) / (total[0] + 1)) for f, n in held[1].items() if n >= SUPPORT}
     return {f: o for f, o in odds.items() if o >= ODDS}
 
 
 def fit(docs: list[tuple[str, int]], rounds: int = 35) -> Tagger:
-    """docs: (text, toxic) of the sample. Repeated texts count once."""
-    docs = list(dict(docs).items())
+    """docs: (text, toxic) of the sample. Repeated rows count once."""
+    docs = list(dict.fromkeys(docs))
     tagger = Tagger(dict.fromkeys(cues_of(docs), 0.0))
     names = {f: i for i, f in enumerate(tagger.weights)}
-    found = Memo(lambda w: [names[f] for f in features(w) if f in names])
-    rows, tags, lengths, words = [], [], [], []
+    found = Memo(lambda w: tuple(names[f] for f in features(w) if f in names))
+    times: Counter = Counter()  # (cues of each word, toxic) -> sentences
     for text, toxic in docs:
-        seq = WORD.findall(text.lower())
-        words.append(seq)
-        for at in range(0, len(seq), SENTENCE):
-            ids = [found[w] for w in seq[at : at + SENTENCE]]
-            if any(ids) or (at // SENTENCE) % 8 == 0:  # sentences without a cue: every eighth, weighted below
-                rows.append(ids)
-                tags.append([int(bool(toxic and x)) for x in ids])
-                lengths.append(len(ids))
-    if names and rows:
-        crf(tagger, rows, tags, rounds)
+        ids = [found[w] for w in split(text)]
+        for at in range(0, len(ids), SENTENCE):
+            part = tuple(ids[at : at + SENTENCE])
+            times[part, bool(toxic) and any(part)] += 1
+    if names and times:
+        rows = sorted(times)
+        crf(tagger, [r for r, _ in rows], [[int(bool(toxic and x)) for x in r] for r, toxic in rows], np.array([times[r] for r in rows], float), rounds)
     if not docs:
         return tagger
     x, y = [], []
     cue = Memo(tagger.cue)
-    for seq, (_, toxic) in zip(words, docs, strict=True):
+    for text, toxic in docs:
+        seq = split(text)
         got = [cue[w] for w in seq]
         at = [i for i, c in enumerate(got) if c]
         p = tagger.marginals(at, [got[i] for i in at], len(seq)) if at else np.zeros(0)
@@ -167,26 +173,33 @@ def fit(docs: list[tuple[str, int]], rounds: int = 35) -> Tagger:
     return tagger
 
 
-def crf(tagger: Tagger, rows: list[list[list[int]]], tags: list[list[int]], rounds: int) -> None:
-    """Maximum conditional likelihood of the tags, by full gradients with adaptive steps."""
-    s, t = len(rows), max(map(len, rows))
-    size = np.array([len(r) for r in rows])
-    mask = np.arange(t)[None, :] < size[:, None]
-    y = np.zeros((s, t), np.int64)
-    pos, ids = [], []
-    for i, (r, g) in enumerate(zip(rows, tags, strict=True)):
-        y[i, : len(g)] = g
-        for j, f in enumerate(r):
-            pos += [i * t + j] * len(f)
-            ids += f
-    pos, ids = np.array(pos, np.int64), np.array(ids, np.int64)
-    w, bias, trans, start = np.zeros(len(tagger.weights)), -3.0, np.zeros((2, 2)), np.zeros(2)
-    sums = [np.full_like(w, 1e-3), 1e-3, np.full((2, 2), 1e-3), np.full(2, 1e-3)]
-    pairs_seen = np.array([[((y[:, :-1] == a) & (y[:, 1:] == b) & mask[:, 1:]).sum() for b in (0, 1)] for a in (0, 1)])
-    start_seen = np.array([(y[:, 0] == a).sum() for a in (0, 1)])
-    for _ in range(rounds):
+#: Sentences of a step of the gradient, so that its dense arrays have a bounded size.
+BLOCK = 8192
+
+
+class Block:
+    """Sentences as arrays: cues by position, tags, and what the tags show."""
+
+    def __init__(self, rows: list[tuple], tags: list[list[int]], times: np.ndarray):
+        self.s, self.t, self.times = len(rows), max(map(len, rows)), times
+        self.mask = np.arange(self.t)[None, :] < np.array([len(r) for r in rows])[:, None]
+        self.y = np.zeros((self.s, self.t), np.int64)
+        pos, ids = [], []
+        for i, (r, g) in enumerate(zip(rows, tags, strict=True)):
+            self.y[i, : len(g)] = g
+            for j, f in enumerate(r):
+                pos += [i * self.t + j] * len(f)
+                ids += f
+        self.pos, self.ids = np.array(pos, np.int64), np.array(ids, np.int64)
+        y, live = self.y, self.mask[:, 1:]
+        self.pairs = np.array([[(((y[:, :-1] == a) & (y[:, 1:] == b) & live) * times[:, None]).sum() for b in (0, 1)] for a in (0, 1)])
+        self.start = np.array([((y[:, 0] == a) * times).sum() for a in (0, 1)])
+
+    def gradient(self, w: np.ndarray, bias: float, trans: np.ndarray, start: np.ndarray) -> list:
+        """Of the log likelihood, each sentence as often as it was seen."""
+        s, t, mask, times = self.s, self.t, self.mask, self.times
         emit = np.zeros((s, t, 2))
-        emit[:, :, 1] = bias + np.bincount(pos, w[ids], s * t).reshape(s, t)
+        emit[:, :, 1] = bias + np.bincount(self.pos, w[self.ids], s * t).reshape(s, t)
         alpha, beta = np.zeros((s, t, 2)), np.zeros((s, t, 2))
         a = start + emit[:, 0]
         alpha[:, 0] = a
@@ -201,20 +214,30 @@ def crf(tagger: Tagger, rows: list[list[list[int]]], tags: list[list[int]], roun
             x = emit[:, j] + b
             live = mask[:, j]
             edge = np.exp(np.clip(alpha[:, j - 1, :, None] + trans + x[:, None, :] - z[:, None, None], -60, 0))
-            pairs += edge[live].sum(0)
+            pairs += (edge[live] * times[live][:, None, None]).sum(0)
             b = np.where(live[:, None], np.logaddexp(trans[:, 0] + x[:, :1], trans[:, 1] + x[:, 1:]), b)
         beta[:, 0] = b
         p = np.exp(np.clip(alpha[:, :, 1] + beta[:, :, 1] - z[:, None], -60, 0)) * mask
-        diff = np.where(mask, y - p, 0.0)
-        grads = [np.bincount(ids, diff.ravel()[pos], len(w)) - 0.02 * w, diff.sum(), pairs_seen - pairs - 0.1 * trans, start_seen - np.stack([(1 - p[:, 0]).sum(), p[:, 0].sum()])]
-        params = [w, bias, trans, start]
-        for k, g in enumerate(grads):
+        diff = np.where(mask, self.y - p, 0.0) * times[:, None]
+        begin = np.stack([((1 - p[:, 0]) * times).sum(), (p[:, 0] * times).sum()])
+        return [np.bincount(self.ids, diff.ravel()[self.pos], len(w)), diff.sum(), self.pairs - pairs, self.start - begin]
+
+
+def crf(tagger: Tagger, rows: list[tuple], tags: list[list[int]], times: np.ndarray, rounds: int) -> None:
+    """Maximum conditional likelihood of the tags, by full gradients with adaptive steps; sentence i was seen times[i] times."""
+    blocks = [Block(rows[at : at + BLOCK], tags[at : at + BLOCK], times[at : at + BLOCK]) for at in range(0, len(rows), BLOCK)]
+    params = [np.zeros(len(tagger.weights)), -3.0, np.zeros((2, 2)), np.zeros(2)]
+    ridge = (0.02, 0.0, 0.1, 0.0)
+    sums = [np.full_like(params[0], 1e-3), 1e-3, np.full((2, 2), 1e-3), np.full(2, 1e-3)]
+    for _ in range(rounds):
+        parts = [block.gradient(*params) for block in blocks]
+        for k in range(4):
+            g = sum(p[k] for p in parts) - ridge[k] * params[k]
             sums[k] = sums[k] + g * g
             params[k] = params[k] + 0.5 * g / np.sqrt(sums[k])
-        w, bias, trans, start = params
-    tagger.weights = dict(zip(tagger.weights, w.tolist(), strict=True))
+    w, bias, trans, start = params
+    tagger.weights = {f: x for f, x in zip(tagger.weights, w.tolist(), strict=True) if abs(x) > 0.05}
     tagger.bias, tagger.trans, tagger.start = float(bias), trans, start
-    tagger.weights = {f: x for f, x in tagger.weights.items() if abs(x) > 0.05}
 
 
 def held_out() -> F.Column:
@@ -222,13 +245,14 @@ def held_out() -> F.Column:
 
 
 def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> list[tuple[str, int]]:
-    """At most `size` documents of each class outside the held-out fold."""
-    named = labels.where("doc_id is not null and toxic in (0, 1)").where(~held_out()).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
+    """At most `size` documents of each class outside the held-out fold, one text an id."""
+    named = labels.where("doc_id is not null and toxic in (0, 1)").where(~held_out()).groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     order = F.xxhash64("doc_id")
     ids = named.where("toxic = 1").orderBy(order, "doc_id").limit(size).union(named.where("toxic = 0").orderBy(order, "doc_id").limit(size))
     ids = materialise(ids, "toxic-sample")
-    got = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "toxic").collect()  # bounded: 2 * size ids
-    return [(r["text"], r["toxic"]) for r in sorted(got, key=lambda r: (r["doc_id"], r["text"]))]
+    got = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(ids), "doc_id")  # 2 * size ids at most
+    got = got.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).collect()  # as many rows
+    return [(r["text"], r["toxic"]) for r in sorted(got, key=lambda r: r["doc_id"])]
 
 
 def train(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Tagger:

@@ -3,11 +3,17 @@
 A page is read as words and tags. Words score positive, tags negative, with weights learnt from a bounded sample of pages that
 mark their main part themselves (`article`, `main`): the log odds of lying inside it, by tag name and by kind of
 word (linked or not). One linear scan finds the contiguous stretch with the highest sum. The stretch is then set to
-the borders of the smallest element that holds it, and boilerplate elements inside (menus, forms, adverts, notices,
-reader comments, scripts) are left out.
+the borders of the smallest element that holds it, and boilerplate inside (menus, forms, adverts, notices, reader comments, scripts) is left
+out. Boilerplate are whole containers only: by their tag, by a class, id or role that says nothing but that (`NAMES`, with `PLAIN` words
+beside them), or by a class or id that the labelled pages have outside their main part only (`learn`).
 
-Blocks are joined by one line feed; white space, `br` included, inside a block is one space. Defined results: null is
-empty; a page without words gives an empty text; markup that never ends is read as text no further than its `<`.
+Blocks are joined by one line feed; white space, `br` included, inside a block is one space. Reading is linear in the page's length, however
+its tags nest or fail to end.
+
+Defined results: null is empty; a page without words gives an empty text; a tag that never ends is text, and after one whose quotes never end
+quotes no longer count; a comment, script or style that never ends takes the rest. Of stretches with the same score the first counts. Rows that
+repeat a page_id are pages of their own. A page of any length is read whole. Only page_id, url and html are read; other columns, whatever
+their names, play no part.
 """
 
 from __future__ import annotations
@@ -25,83 +31,135 @@ from sedimenta.llm.common import map_rows, materialise, read, small_text_batches
 
 #: Bound of the labelled sample: pages with the smallest hash of their id.
 SAMPLE = 1000
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|iframe|svg|math|title)\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>",
-    re.S | re.I,
-)
+TAG = re.compile(r"(/?)([a-zA-Z][a-zA-Z0-9:-]*+)")
+REST = re.compile(r"[^>\"']*+(?:(?:\"[^\"]*+\"|'[^']*+')[^>\"']*+)*+>")
+#: Elements whose content is no text of the page; the first three take the rest of the page if they never end.
+RAW = ("script", "style", "textarea", "title", "iframe", "noscript", "template", "svg")
 ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 SPACE = re.compile(r"[^\S\xa0]+|\xa0+")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr br".split())
+MATH = frozenset("math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom mfenced menclose msub msup msubsup munder mover munderover mtable mtr mtd semantics annotation".split())
+INLINE = MATH | frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr br".split())
 DROP = frozenset("nav footer aside form button select option dialog menu head object canvas audio video fieldset noscript".split())
 MAIN = frozenset(("article", "main"))
 #: Words of a class, id or role that name what isn't main text.
 NAMES = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies consent disclaimer disqus footer header masthead menu modal nav navbar navigation newsletter notice notices pagination popup promo promoted related reply replies respond share sharing sidebar signup social sponsor sponsored subscribe toolbar widget complementary contentinfo search alert".split()
 )
-CLOSES = {"p": frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())}
+#: Words that may stand beside them.
+PLAIN = frozenset("area bar block box bottom container content entry first form global group inner item items last left link links list main middle mobile outer page post primary right row section secondary site sticky story template top wrap wrapper".split())
+#: What names count on: containers, never a heading, paragraph, cell or inline element.
+CONTAINERS = frozenset("div section aside header footer nav ul ol dl table form article main center figure blockquote".split())
+CLOSES = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 #: Weights before any page is labelled.
 FLOW = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd pre blockquote table thead tbody tr td th figure figcaption hr".split())
 DEFAULT = {"word": 1.0, "link": -1.0, "tag": -2.0, "boiler": -1.0} | dict.fromkeys(FLOW | INLINE, -0.5)
+#: A class or id is boilerplate by learning if so many labelled pages have it on a container, each outside its main part only.
+SUPPORT = 20
 
 
 #: What an article or main inside can't be the page's own: teasers and the like.
 HIDES = (DROP | {"header"}) - {"form", "fieldset"}
 
 
-def named(attrs: str) -> bool:
-    """A class, id or role that names what isn't main text."""
-    for found in ATTR.finditer(attrs):
-        value = found[2] or found[3] or found[4] or ""
-        if NAMES & set(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", value).lower())):
-            return True
-    return False
+def marks(attrs: str) -> list[str]:
+    """The single classes, ids and roles of a tag."""
+    return [x for found in ATTR.finditer(attrs) for x in (found[2] or found[3] or found[4] or "").split()]
+
+
+def named(mark: str) -> bool:
+    """A class, id or role that says nothing but what isn't main text."""
+    words = set(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", mark).lower())) - {""}
+    return bool(NAMES & words) and words <= NAMES | PLAIN
+
+
+def tokens(source: str):
+    """(start, end, closing, name, attributes) of each tag; name is empty for what is no text: comments, scripts and the like."""
+    at, quotes, endless, end = 0, True, set(), source.rfind(">")
+    while (start := source.find("<", at)) >= 0:
+        if source.startswith("<!--", start):
+            stop = source.find("-->", start)
+            at = len(source) if stop < 0 else stop + 3
+            yield start, at, "", "", ""
+            continue
+        if start > end:  # no tag ends from here on
+            return
+        if source[start + 1 : start + 2] in ("!", "?"):
+            at = source.find(">", start) + 1
+            yield start, at, "", "", ""
+            continue
+        found = TAG.match(source, start + 1)
+        if not found:
+            at = start + 1
+            continue
+        rest = REST.match(source, found.end()) if quotes else None
+        quotes = rest is not None
+        at = rest.end() if rest else source.find(">", found.end()) + 1
+        name, attrs = found[2].lower(), source[found.end() : at - 1]
+        if not found[1] and name in RAW and not (name == "svg" and attrs.endswith("/")):
+            stop = None
+            if name not in endless:
+                stop = re.compile(rf"</{name}\s*>", re.I).search(source, at)
+                if not stop:
+                    endless.add(name)
+            if stop or name in RAW[:3]:
+                at = stop.end() if stop else len(source)
+                yield start, at, "", "", ""
+                continue
+        yield start, at, found[1], name, attrs
 
 
 class Page:
     """Pieces of text with their block and element, in page order; elements as (name, parent, first piece, piece after the last, boilerplate, named so)."""
 
-    def __init__(self, source: str):
+    def __init__(self, source: str, learnt: frozenset[str] = frozenset()):
         self.elements: list[list] = [["", -1, 0, 0, False, False]]
+        self.marks: dict[int, list[str]] = {}  # of containers
         self.pieces: list[tuple[str, int, int]] = []  # text, element, number of the block
         self.tags: list[tuple[int, str]] = []  # (pieces before it, tag name)
-        stack, at, block = [0], 0, 0
-        for found in TOKEN.finditer(source):
-            if found.start() > at:
-                self.pieces.append((source[at : found.start()], stack[-1], block))
-            at = found.end()
-            if found[1]:
+        self.stack, self.blocks, self.opened = [0], [0], Counter()  # open elements; where in the stack block elements stand; open names
+        stack, at, block = self.stack, 0, 0
+        for start, end, closing, name, attrs in tokens(source):
+            if start > at:
+                self.pieces.append((source[at:start], stack[-1], block))
+            at = end
+            if not name:
                 continue
-            if not found[3]:
-                continue
-            name = found[3].lower()
             self.tags.append((len(self.pieces), name))
             if name not in INLINE:
                 block += 1
             elif name == "br":
                 self.pieces.append((" ", stack[-1], block))
-            if found[2]:
-                if any(self.elements[e][0] == name for e in stack[1:]):
+            if closing:
+                if self.opened[name]:
                     while self.elements[stack[-1]][0] != name:
-                        self.close(stack)
-                    self.close(stack)
+                        self.close()
+                    self.close()
                 continue
-            if name in VOID:
+            if name in VOID or (attrs.endswith("/") and name in ("svg", "path", "math")):
                 continue
-            if name in CLOSES["p"]:  # a paragraph ends where a block begins
-                open_p = next((i for i in range(len(stack) - 1, 0, -1) if self.elements[stack[i]][0] == "p"), 0)
-                if open_p and all(self.elements[e][0] in INLINE for e in stack[open_p + 1 :]):
-                    while len(stack) > open_p:
-                        self.close(stack)
+            if name in CLOSES:  # a paragraph ends where a block begins
+                if self.elements[stack[self.blocks[-1]]][0] == "p":
+                    while self.elements[stack[-1]][0] != "p":
+                        self.close()
+                    self.close()
             elif name == "li" and self.elements[stack[-1]][0] == "li":
-                self.close(stack)
-            if not found[4].rstrip().endswith("/") or name not in ("svg", "path"):
-                self.elements.append([name, stack[-1], len(self.pieces), 0, name in DROP or (name == "header" and not any(self.elements[e][0] in MAIN for e in stack)), bool(found[4]) and name not in ("body", "html") and named(found[4])])
-                stack.append(len(self.elements) - 1)
+                self.close()
+            found = marks(attrs) if attrs and name in CONTAINERS else []
+            so = any(named(x) or x in learnt for x in found)
+            if found:
+                self.marks[len(self.elements)] = found
+            drop = name in DROP or (name == "header" and not (self.opened["article"] or self.opened["main"]))
+            self.elements.append([name, stack[-1], len(self.pieces), 0, drop, so])
+            if name not in INLINE:
+                self.blocks.append(len(stack))
+            self.opened[name] += 1
+            stack.append(len(self.elements) - 1)
         if at < len(source):
             self.pieces.append((source[at:], stack[-1], block))
-        while stack:
-            self.close(stack)
+        while len(stack) > 1:
+            self.close()
+        self.elements[0][3] = len(self.pieces)
         self.mark()
 
     def mark(self) -> None:
@@ -133,15 +191,26 @@ class Page:
             so = so and name not in MAIN and not holds[i] and not (unmarked and 2 * (words[after] - words[first]) > words[-1])
             e[4] = drop or so or (parent >= 0 and elements[parent][4] and not outer[i])
 
-    def close(self, stack: list[int]) -> None:
-        self.elements[stack.pop()][3] = len(self.pieces)
+    def close(self) -> None:
+        if self.blocks[-1] == len(self.stack) - 1:
+            self.blocks.pop()
+        e = self.elements[self.stack.pop()]
+        e[3] = len(self.pieces)
+        self.opened[e[0]] -= 1
 
     def main(self) -> int | None:
         """The element that the page itself marks as its main part, if there is just one."""
-        found = [i for i, e in enumerate(self.elements) if e[0] in MAIN and not e[4]]
-        outer = [i for i in found if not any(p in found for p in self.parents(i))]
+        n = len(self.elements)
+        inside, within, outer = [False] * n, [False] * n, []  # an unhidden article or main; a named element
+        for i, (name, parent, _, _, drop, _) in enumerate(self.elements):
+            if parent >= 0:
+                up = self.elements[parent]
+                inside[i] = inside[parent] or (up[0] in MAIN and not up[4])
+                within[i] = within[parent] or up[5]
+            if name in MAIN and not drop and not inside[i]:
+                outer.append(i)
         if len(outer) > 1:
-            outer = [i for i in outer if not any(self.elements[p][5] for p in self.parents(i))]
+            outer = [i for i in outer if not within[i]]
         return outer[0] if len(outer) == 1 else None
 
     def parents(self, i: int):
@@ -190,7 +259,8 @@ class Page:
             around = self.elements[around][1]
         held = next((p for p in [around, *self.parents(around)] if self.elements[p][0] in MAIN), None)
         if held is None:
-            mains = [i for i, e in enumerate(self.elements) if e[0] in MAIN and not e[4] and around in self.parents(i) and e[2] < after and e[3] > first]
+            low, high = self.elements[around][2:4]
+            mains = [i for i, e in enumerate(self.elements) if e[0] in MAIN and not e[4] and i > around and low <= e[2] and e[3] <= high and e[2] < after and e[3] > first]
             held = max(mains, key=lambda i: self.elements[i][3] - self.elements[i][2], default=None)
         around = around if held is None else held
         whole = self.elements[around][0] not in ("", "html", "body") or held is not None
@@ -215,9 +285,10 @@ class Page:
         return "\n".join(x for x in clean if x)
 
 
-def learn(pages: list[str]) -> dict[str, float]:
-    """Log odds of words and tags to lie inside the marked main part; pages without one say nothing."""
+def learn(pages: list[str]) -> tuple[dict[str, float], frozenset[str]]:
+    """Log odds of words and tags to lie inside the marked main part, and the classes and ids that are boilerplate; pages without one say nothing."""
     seen = [Counter(), Counter()]
+    where = [Counter(), Counter()]  # pages by class or id of a container, outside and inside
     for source in pages:
         page = Page(source)
         main = page.main()
@@ -226,6 +297,12 @@ def learn(pages: list[str]) -> dict[str, float]:
         low, high = page.elements[main][2:4]
         for piece, kind, n in page.kinds():
             seen[low <= piece < high][kind] += n
+        found = (set(), set())
+        for i, names in page.marks.items():
+            first, after = page.elements[i][2:4]
+            found[first < high and after > low].update(names)  # what holds the main part isn't outside
+        for n, names in zip(where, found, strict=True):
+            n.update(names)
     weights = dict(DEFAULT)
     total = [sum(c.values()) + 1 for c in seen]
     for kind in seen[0] | seen[1]:
@@ -236,22 +313,23 @@ def learn(pages: list[str]) -> dict[str, float]:
             weights[kind] = max(-3.0, min(-0.2, odds))
         else:  # tags are costs: more so where they are rare inside
             weights[kind] = -min(8.0, max(0.2, 1.0 - odds))
-    return weights
+    return weights, frozenset(x for x, n in where[0].items() if n >= SUPPORT and not where[1][x])
 
 
-def train(pages: DataFrame, size: int = SAMPLE) -> dict[str, float]:
+def train(pages: DataFrame, size: int = SAMPLE) -> tuple[dict[str, float], frozenset[str]]:
     rows = pages.select("page_id", "html").where("html is not null and page_id is not null")
     ids = materialise(rows.select("page_id").orderBy(F.xxhash64("page_id"), "page_id").limit(size), "html-sample")
     # Ids first, so that tasks send ids alone to the driver; pages of the chosen ids follow, `size` at most.
     return learn([r["html"] for r in rows.join(F.broadcast(ids.distinct()), "page_id", "left_semi").limit(size).collect()])
 
 
-def extract(pages: DataFrame, weights: dict[str, float]) -> DataFrame:
+def extract(pages: DataFrame, model: tuple[dict[str, float], frozenset[str]]) -> DataFrame:
     small_text_batches(pages.sparkSession)
+    weights, learnt = model
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            out = [Page(t).text(weights) if t else "" for t in texts(batch, "html")]
+            out = [Page(t, learnt).text(weights) if t else "" for t in texts(batch, "html")]
             return pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
         return step

@@ -78,8 +78,57 @@ def test_digest_index_keeps_what_it_saw(spark, docs):
     assert again.where("kept").count() == 0 and index.rows().count() == first
     more = spark.createDataFrame([(900, docs[0][1]), (901, "new one")], "doc_id long, text string")
     assert {(r["doc_id"], r["keep_id"], r["kept"]) for r in index.ingest(more).collect()} == {(900, 0, False), (901, 901, True)}
-    reopened = exact_dedup.DigestIndex(spark, index.path, index.buckets)
-    assert reopened.rows().count() == first + 1
+    for buckets in (1, 4, 64):  # the stored layout counts, also where the session never saw the table
+        spark.sql(f"DROP TABLE {index.table}")
+        reopened = exact_dedup.DigestIndex(spark, index.path, buckets)
+        assert reopened.buckets == index.buckets and reopened.rows().count() == first + 1
+        assert reopened.ingest(df).where("kept").count() == 0 and reopened.rows().count() == first + 1
+
+
+def test_digest_index_survives_a_killed_run(spark, docs, monkeypatch):
+    df = spark.createDataFrame(docs, DOC)
+    index = exact_dedup.DigestIndex(spark)
+    whole = exact_dedup.files.create_once
+
+    def killed(spark, path, text):
+        if "/log/" in path:
+            raise RuntimeError("lost")
+        return whole(spark, path, text)
+
+    monkeypatch.setattr(exact_dedup.files, "create_once", killed)
+    with pytest.raises(RuntimeError, match="lost"):
+        index.ingest(df, "monday")
+    monkeypatch.setattr(exact_dedup.files, "create_once", whole)
+    assert index.rows().count() == 0  # nothing of the killed run counts
+    rerun = Counter(tuple(r) for r in index.ingest(df, "monday").collect())
+    assert sum(r[3] * n for r, n in rerun.items()) == index.rows().count() > 0
+    assert Counter(tuple(r) for r in index.ingest(df, "monday").collect()) == rerun  # its answer was lost: the same verdicts again
+    assert index.ingest(df, "tuesday").where("kept").count() == 0
+
+
+def test_digest_index_of_two_batches_at_a_time(spark, docs, monkeypatch):
+    df = spark.createDataFrame(docs, DOC)
+    index = exact_dedup.DigestIndex(spark)
+    whole, other = exact_dedup.files.create_once, []
+
+    def late(spark, path, text):
+        if "/log/" in path and not other:
+            other.append(1)
+            other.append(exact_dedup.DigestIndex(spark, index.path).ingest(df).where("kept").count())
+        return whole(spark, path, text)
+
+    monkeypatch.setattr(exact_dedup.files, "create_once", late)
+    assert index.ingest(df).where("kept").count() == 0 and other[1] == index.rows().count()
+
+
+def test_exact_dedup_keeps_columns_of_any_name(spark):
+    rows = [(1, "a  b", "x1", "y1"), (2, "a b", "x2", "y2"), (None, "a b", "x3", "y3"), (None, "c", "x4", "y4"), (None, "c", "x4", "y4"), (3, None, None, "y5"), (3, "", None, "y5")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, key string, _KEY string").withColumnsRenamed({"key": "key"})
+    for names in (("key", "_KEY"), ("__digest", "__id"), ("digest", "row"), ("kept", "keep_id")):
+        one = df.toDF("doc_id", "text", *names)
+        got = exact_dedup.DigestIndex(spark).keep(one)
+        assert got.columns == one.columns
+        assert Counter((r[0], r[2], r[3]) for r in got.collect()) == Counter([(1, "x1", "y1"), (None, "x4", "y4"), (3, None, "y5")])
 
 
 def test_toxicity_marginals_are_exact():
@@ -135,6 +184,61 @@ def test_sentencepiece(spark, sf, docs):
         assert code.model.decode(code.model.encode(text)) == sp.decode(ref)
 
 
+def full_marginals(tagger, cues):
+    """P(label 1) of every word, by forward and backward sums over the whole text in logs."""
+    n = len(cues)
+    e = np.zeros((n, 2))
+    e[:, 1] = np.clip(tagger.bias + np.array(cues), -30, 30)
+    a = [tagger.start + e[0]]
+    for j in range(1, n):
+        a.append(np.logaddexp(a[-1][0] + tagger.trans[0], a[-1][1] + tagger.trans[1]) + e[j])
+    b = [np.zeros(2)]
+    for j in range(n - 1, 0, -1):
+        x = e[j] + b[0]
+        b.insert(0, np.logaddexp(tagger.trans[:, 0] + x[0], tagger.trans[:, 1] + x[1]))
+    m = np.array(a) + np.array(b)
+    return np.exp(m - np.logaddexp(m[:, :1], m[:, 1:]))[:, 1]
+
+
+def test_toxicity_against_brute_force(spark, sf, docs):
+    """Scores and spans of the query are those of sums over every word of every text, under the model that the labels give."""
+    frame = spark.read.parquet(f"{sf}/documents.parquet")
+    tagger = toxicity.train(frame, spark.read.parquet(f"{sf}/labels.parquet"))
+    assert tagger.weights
+    want = Counter()
+    for d in docs:
+        seq = [m[0].lower() for m in toxicity.WORD.finditer(d[1] or "")]
+        cues = [tagger.cue(w) for w in seq]
+        p = full_marginals(tagger, cues) if seq else np.zeros(0)
+        p = p[[i for i, c in enumerate(cues) if c]]
+        want[d[0], round(tagger.score(p), 6), int((p >= 0.5).sum())] += 1
+    got = Counter((r["doc_id"], round(r["score"], 6), r["n_spans"]) for r in toxicity.op2_toxicity(spark, sf).collect())
+    assert got == want
+    empty = {r["doc_id"]: r["score"] for r in toxicity.op2_toxicity(spark, sf).collect()}
+    assert empty[64] == empty[65] < 0.5  # null and empty
+
+
+def test_toxicity_gradient_counts_sentences():
+    """Equal sentences by number, in blocks, give the gradient of all sentences one by one."""
+    rows = [((0,), (), (1,)), ((), ()), ((), (), (), ())]
+    tags = [[1, 0, 1], [0, 0], [0, 0, 0, 0]]
+    times = [3, 5, 2]
+    args = (np.array([0.4, -0.2]), -1.5, np.array([[0.3, -0.1], [0.2, 0.5]]), np.array([0.1, -0.3]))
+    one = toxicity.Block(rows, tags, np.array(times, float)).gradient(*args)
+    many = toxicity.Block([r for r, n in zip(rows, times) for _ in range(n)], [t for t, n in zip(tags, times) for _ in range(n)], np.ones(10)).gradient(*args)
+    parts = [toxicity.Block([r], [t], np.array([float(n)])).gradient(*args) for r, t, n in zip(rows, tags, times)]
+    for k in range(4):
+        assert np.allclose(one[k], many[k]) and np.allclose(one[k], sum(p[k] for p in parts))
+
+
+def test_toxicity_spans_of_any_text():
+    tagger = toxicity.Tagger({"=idiot": 9.0}, -4.0)
+    cues = toxicity.Memo(tagger.cue)
+    for text in ("idiot here", "\u0130 idiot here", "\u0130IDIOT idiot"):
+        spans = tagger.tag(text, cues)[1]
+        assert [text[a:b].lower() for a, b in spans] == ["idiot"]
+
+
 PAGE = "page_id long, url string, html string, digest string, payload string"
 
 
@@ -323,16 +427,36 @@ def test_substring_spans_are_verified(spark, monkeypatch):
 
 def test_license_scan(spark, sf, docs):
     word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-    got = Counter(tuple(r)[:6] for r in licenses.op9_license_scan(spark, sf).collect())
+    got = Counter(tuple(r) for r in licenses.op9_license_scan(spark, sf).collect())
     want = Counter()
     for d in docs:
         w = word.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in d[1] or ""))
-        hits = [(i, label) for p, label in licenses.BASE.items() for i in range(len(w)) if w[i : i + len(p.split())] == p.split()]
+
+        def found(phrases, w=w):
+            return [(i, label) for p, label in phrases.items() for i in range(len(w)) if w[i : i + len(p.split())] == p.split()]
+
+        hits, more, tags = found(licenses.BASE), found(licenses.MORE), found({licenses.TAG: ""})
         at = [i for i, _ in hits]
-        want[(d[0], len(w), len(hits), min(at, default=None), max(at, default=None), ",".join(sorted({x for _, x in hits})))] += 1
+        base = {x for _, x in hits}
+        labels = base | {x for _, x in more} | ({"mit", "gpl", "zlib"} if tags else set())  # the one tagged text
+        score = 1.0 if tags else 1 - 0.5 ** (len(hits) + 0.5 * len(labels - base)) if labels else 0.0
+        want[(d[0], len(w), len(hits), min(at, default=None), max(at, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), score, False if tags else None)] += 1
     assert got == want
 
 
+def test_license_choice():
+    auto = licenses.automaton()
+
+    def obliges(expression):
+        return licenses.scan(f"SPDX-License-Identifier: {expression}".encode(), auto)[7]
+
+    assert obliges("MIT OR GPL-2.0-only") is False and obliges("MIT AND GPL-2.0-only") is True
+    assert obliges("(MIT OR Zlib) AND (LGPL-2.1+ OR MPL-2.0)") is True and obliges("GPL-2.0-only WITH Classpath-exception-2.0 OR ISC") is False
+    assert obliges("") is None and licenses.scan(b"the mit license", auto)[7] is None
+    wide = " AND ".join(f"(A{i} OR GPL-{i})" for i in range(4000))  # 2 ** 4000 alternatives
+    assert obliges(wide) is False and licenses.scan(f"SPDX-License-Identifier: {wide}".encode(), auto)[5].count(",") == 4000
+
+
 def test_license_expressions():
     assert licenses.expression("MIT OR Apache-2.0 AND GPL-2.0-only WITH Classpath-exception-2.0") == [{"MIT"}, {"Apache-2.0", "GPL-2.0-only with Classpath-exception-2.0"}]
     assert licenses.expression("(MIT OR BSD-3-Clause) AND Zlib */") == [{"MIT", "Zlib"}, {"BSD-3-Clause", "Zlib"}]
@@ -356,6 +480,9 @@ def test_embedding_dedup(spark, tmp_path, homes, monkeypatch):
     link = (y @ y.T >= 0.98) & (label[:, None] == label[None])
     np.fill_diagonal(link, False)
     low = brute_components([r[0] for r in good], lambda i, j: link[i, j])
+    exact = embedding_dedup.near_groups(spark.read.parquet(str(tmp_path / "embeddings.parquet")), recall=1.0).collect()
+    want = Counter((r[0], int(n), c) for r, n, c in zip(good, link.sum(1), low, strict=True)) + Counter((r[0], 0, r[0]) for r in odd[:6])
+    assert Counter(tuple(r) for r in exact) == want  # the exact setting misses nothing
     got = embedding_dedup.op10_embedding_dedup(spark, str(tmp_path)).collect()
     assert len(got) == len(rows) + len(odd)
     want = Counter((r[0], int(n), c) for r, n, c in zip(good, link.sum(1), low, strict=True)) + Counter((r[0], 0, r[0]) for r in odd[:6])
@@ -364,6 +491,125 @@ def test_embedding_dedup(spark, tmp_path, homes, monkeypatch):
     assert sum((want - found).values()) <= 0.02 * len(got)
 
 
+def test_embedding_dedup_of_many_lengths(spark, monkeypatch):
+    """Vectors of lengths beyond those with codebooks of their own link as well."""
+    monkeypatch.setattr(embedding_dedup, "GRIDS", 2)
+    rows = [(100 * n + i, [1.0] * n + [0.001 * i], 1) for n in range(1, 9) for i in range(n + 2)]
+    got = embedding_dedup.near_groups(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), recall=1.0).collect()
+    assert {(r["vec_id"], r["n_links"], r["component_id"]) for r in got} == {(100 * n + i, n + 1, 100 * n) for n in range(1, 9) for i in range(n + 2)}
+
+
+def test_embedding_visits_are_the_cells_within_budget():
+    """The multi-sequence gives just the cells whose border cost is within the budget, nearest first, as the whole grid shows."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 8))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    grid = embedding_dedup.Grid(x, np.zeros(300), 300 * 4096)
+    grid.budget = 0.02
+    words = [len(h.book) for h in grid.halves]
+    assert min(words) > 100 and embedding_dedup.book_size(4 * 10**8) == 2 * embedding_dedup.book_size(10**8)
+    rows, cells, home = grid.visits(x[:40])
+    for i in range(40):
+        cost = grid.cost(np.repeat(x[i : i + 1], words[0] * words[1], 0), np.arange(words[0] * words[1]))
+        mine = cells[rows == i]
+        assert set(mine.tolist()) == set(np.flatnonzero(cost <= 0.02).tolist()) and (np.diff(cost[mine]) >= 0).all()
+        assert home[rows == i].sum() == 1 and cost[mine[home[rows == i]]] == 0
+
+
+def brute_pipeline(rows, tagger):
+    """(doc_id, text) that each stage but the last leaves of rows (doc_id, text)."""
+    out = []
+    kept = []
+    for d, t in rows:
+        cues = [tagger.cue(m[0].lower()) for m in toxicity.WORD.finditer(t or "")]
+        p = full_marginals(tagger, cues) if cues else np.zeros(0)
+        if tagger.score(p[[i for i, c in enumerate(cues) if c]]) < 0.5:
+            kept.append((d, t))
+    out.append(kept)
+    first = {}
+    for d, t in kept:
+        k = SPACE.sub(" ", t or "")
+        if k not in first or (d is not None and (first[k][0] is None or d < first[k][0])):
+            first[k] = (d, t)
+    out.append(list(first.values()))
+    sets = [brute_shingles(t) for _, t in out[-1]]
+    parent = list(range(len(sets)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(sets)):
+        for j in range(i):
+            if alike(sets[i], sets[j]):
+                parent[find(i)] = find(j)
+    least = {}
+    for i, (d, _) in enumerate(out[-1]):
+        least.setdefault(find(i), []).append((d is None, d or 0, i))
+    out.append([out[-1][min(x)[2]] for x in least.values()])
+    owner = {}
+    for d, t in out[-1]:
+        w = words(t)
+        for i in range(len(w) - 12 if d is not None else 0):
+            k = tuple(w[i : i + 13])
+            owner[k] = min(owner.get(k, d), d)
+    cut = []
+    for d, t in out[-1]:
+        w = words(t)
+        gone = [False] * len(w)
+        for i in range(len(w) - 12 if d is not None else 0):
+            if owner[tuple(w[i : i + 13])] < d:
+                gone[i : i + 13] = [True] * 13
+        cut.append((d, " ".join(x for x, g in zip(w, gone, strict=True) if not g) if any(gone) else t))
+    out.append(cut)
+    return out
+
+
+def test_pipeline_against_brute_force(spark, docs, tmp_path):
+    """What every stage decides, and what run() packs, row by row."""
+    from tokenizers import Tokenizer
+
+    rows = [(d[0], d[1]) for d in docs] + [(1000 + i, t) for i, t in enumerate(near_texts())]
+    df = spark.createDataFrame([(d, t, "en", "s", len(t or ""), "g", "x") for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long, score string, row string")
+    df.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(d, 1, int("Idiot" in (t or ""))) for d, t in rows if d is not None], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    read = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    want = brute_pipeline(rows, toxicity.train(read, spark.read.parquet(str(tmp_path / "labels.parquet"))))
+    at = read
+    for n, (name, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        out = stage(spark, at, str(tmp_path))
+        assert out.columns == read.columns
+        out.write.parquet(str(tmp_path / name))
+        at = spark.read.parquet(str(tmp_path / name))
+        got = Counter((r["doc_id"], r["text"]) for r in at.collect())
+        if n in (1, 2):  # of equal or alike texts under one id any may stay
+            assert Counter(d for d, _ in got.elements()) == Counter(d for d, _ in want[n]), name
+        else:
+            assert got == Counter(want[n]), name
+    assert len(want[0]) < len(rows) and len(want[2]) < len(want[1]) < len(want[0]) and want[3] != want[2]
+    tok, pieces = Tokenizer.from_file(packing.vocabulary()), Counter()
+    for d, t in want[3]:
+        ids = [*tok.encode(t or "", add_special_tokens=False).ids, 0]
+        for a in range(0, len(ids), 2048):
+            pieces[d, a, zlib.crc32(np.array(ids[a : a + 2048], "<u4").tobytes())] += 1
+    packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert Counter((r["doc_id"], r["start"], r["ids_crc32"]) for r in packed) == pieces
+
+
+def test_clashing_column_names(spark):
+    """Columns of documents that are named as the operators' own come out as they went in."""
+    names = ["doc_id", "text", "lang", "source", "n_chars", "group", "_group", "__group", "score", "spans", "key", "__row", "row", "digest", "__digest", "__id", "__score", "Score", "g", "first", "root"]
+    names = [x for i, x in enumerate(names) if x.lower() not in [y.lower() for y in names[:i]]]
+    rnd = random.Random(4)
+    rows = [(i, " ".join(f"w{rnd.randrange(50)}" for _ in range(30)), "en", "s", 90, *(f"{x}{i}" for x in names[5:])) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{x}` string" for x in names[5:]))
+    for stage in (exact_dedup.DigestIndex(spark).keep, substring_dedup.remove, lambda d: corpus_pipeline.drop_near_copies(spark, d, ""), lambda d: toxicity.tag(d, toxicity.Tagger({}), d.columns, "a score", "a span").drop("a score", "a span")):
+        out = stage(df)
+        assert out.columns == names
+        assert {tuple(r)[5:] for r in out.collect()} == {r[5:] for r in rows}
+
+
 def test_pipeline(spark, sf, docs):
     df = spark.read.parquet(f"{sf}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES[:-1]:
@@ -461,6 +707,45 @@ def test_html_names_on_layout_wrappers():
     assert text(related) == plain and page.elements[page.main()][2] == 0
 
 
+def test_html_names_kill_whole_containers_only():
+    def text(body, learnt=frozenset()):
+        return html_extract.Page(f"<html><body><article>{body}</article></body></html>", learnt).text(html_extract.DEFAULT)
+
+    story = "<p>One two three four five six.</p>"
+    for kept in ('<h2 id="related-work">Related work</h2>', '<p class="notice-board">Notice board</p>', '<div class="search-trees">Search trees</div>', '<p>Of <math><mi>x</mi><mo>=</mo><mn>2</mn></math></p>', '<span class="ad">word</span>'):
+        assert text(story + kept).split("\n")[1:] == [" ".join(re.sub("<[^>]*>", "", kept).split())]
+    for lost in ('<div class="ad">x</div>', '<div id="cookieNotice">x</div>', '<section class="post-comments">x</section>', '<ul class="menu main-menu"><li>x</ul>', '<svg><title>x</title></svg>', "<textarea>x</textarea>", "<form>x</form>"):
+        assert text(story + lost) == "One two three four five six."
+    assert text(f'{story}<div class="zq">x</div>', frozenset(["zq"])) == "One two three four five six."
+    page = f'<html><body><div class="zq frame"><p>Stock rises</p></div><article><div class="frame">{story * 3}</div></article></body></html>'
+    assert html_extract.learn([page] * 19)[1] == frozenset() and html_extract.learn([page] * 20)[1] == frozenset(["zq"])
+
+
+def test_html_region_is_the_maximum_scoring_subsequence():
+    rnd = random.Random(9)
+    weights = {"word": 1.0, "link": -1.5, "tag": -1.0, "p": -0.5, "div": -2.5, "a": -0.5, "boiler": -1.0}
+    for _ in range(200):
+        body = "".join(rnd.choice(["<p>", "</p>", "<div>", "</div>", "<a>", "</a>", "one two ", "three ", "<hr>"]) for _ in range(rnd.randint(1, 40)))
+        page = html_extract.Page(body)
+        scores = [(piece, n * weights.get("boiler" if kind == "word" and page.elements[page.pieces[piece][1]][4] else kind, weights["tag"])) for piece, kind, n in page.kinds()]
+        first, after = page.region(weights)
+        got = max((sum(x for _, x in scores[i:j]) for i in range(len(scores)) for j in range(i + 1, len(scores) + 1) if scores[i][0] >= first and scores[j - 1][0] < after), default=0.0)
+        best = max((sum(x for _, x in scores[i:j]) for i in range(len(scores)) for j in range(i + 1, len(scores) + 1)), default=0.0)
+        assert abs(max(best, 0.0) - max(got, 0.0)) < 1e-9
+
+
+@pytest.mark.parametrize("unit", ["<a ", "<b>", "<div>", "<p><b>", "<b><div></div>", "<article>", "<div class='ad'>", "<svg>", "<!--", "<a \" > \" ", "<", "</p><p>", "<math", "<title>x", "<a x='"])
+def test_html_reads_in_linear_time(unit):
+    import time
+
+    source = "<p>first words here</p>" + unit * (1_000_000 // len(unit)) + " last"
+    began = time.process_time()
+    page = html_extract.Page(source)
+    page.main()
+    page.text(html_extract.DEFAULT)
+    assert time.process_time() - began < 20
+
+
 def test_license_tags_on_one_line_and_over_line_ends():
     auto = licenses.automaton()
 

@@ -14,8 +14,8 @@ in; other documents lose the words of edges that a smaller document has. Edges b
    are verified against the words at the source's coordinates: each distinct span goes to its source's group, which digests
    the words there; a span that differs stops the job, since it would mean equal labels of unequal words.
 
-A word's code is 128 bits of its keyed BLAKE2, a label is 128 bits of BLAKE2 over the codes, a span's digest is taken from the
-words themselves by another key; the minimiser's 64 bits and the cuts only select. Joins are requests and answers: documents
+A word's code is its XXH3 of 128 bits, a label is 128 bits of BLAKE2 over the codes, a span's digest is a keyed BLAKE2 of the
+words themselves; the minimiser's 64 bits and the cuts only select. Joins are requests and answers: documents
 are kept in groups of GROUP_BYTES or more, a table bucketed by group; a group asks once for each of its distinct keys, however
 many of its documents hold it, so that a passage in a third of all documents is one request a group. Keys are dealt
 over partitions by hash. Groups grow with the number of partitions (see `group_bytes`), so that a request doesn't shrink to its header.
@@ -31,17 +31,18 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sedimenta.llm.common import free_name, materialise, read, shared_dir, small_text_batches, trim
 
-WINDOW, GRAM, CUT_GRAM, CUT = 13, 7, 4, 48
+WINDOW, GRAM, CUT_GRAM, CUT, SEED = 13, 7, 4, 48, 20240229
 GROUP_BYTES, GROUP_DOCS = 1 << 20, 1024
 U = np.uint64
 BASE = (U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F))
@@ -53,22 +54,6 @@ def group_bytes(parts: int) -> int:
     return min(8 * GROUP_BYTES, max(GROUP_BYTES, parts * (GROUP_BYTES // 128)))
 
 
-class Codes(dict):
-    """word -> 16 bytes; of bounded size: long words aren't kept, and the older half goes when it is full."""
-
-    def __missing__(self, word: bytes) -> bytes:
-        code = hashlib.blake2b(word, digest_size=16, key=b"word").digest()
-        if len(word) <= 64:
-            if len(self) >= 200_000:
-                for k in list(self)[:100_000]:
-                    del self[k]
-            self[word] = code
-        return code
-
-
-CODES = Codes()
-
-
 def fmix(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> U(33))
     x = x * U(0xFF51AFD7ED558CCD)
@@ -99,7 +84,7 @@ class Group:
         self.n = len(self.words)
         if not coded:
             return
-        self.code = memoryview(b"".join(map(CODES.__getitem__, self.words)))
+        self.code = memoryview(b"".join(map(xxhash.xxh3_128_digest, self.words, repeat(SEED))))
         self.hash = np.ascontiguousarray(np.frombuffer(self.code, U).reshape(-1, 2)[:, 0])
         self.index = np.repeat(np.arange(len(docs)), np.diff(self.bounds))  # document of each word
         self.known = np.array([d is not None for d in docs], bool)

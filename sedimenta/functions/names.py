@@ -128,7 +128,7 @@ def reduced(names: DataFrame, column: str, rules: list[tuple[str, str]] | None =
         F.when(form != "single label", form).when(F.col("at").isNull(), "no known suffix").when(F.col("at") <= 0, "bare suffix")
         .when(~label.rlike(STRICT_LABEL), "bad registered label")
     )
-    named = longest.select(column, F.when(F.coalesce(F.col("at") > 0, F.lit(False)), F.array_join(F.slice(parts, F.greatest("at", F.lit(1)), F.size(parts)), ".")).alias("registrable"), reason.alias("refused"))
+    named = longest.select(column, F.when(reason.isNull(), F.array_join(F.slice(parts, F.greatest("at", F.lit(1)), F.size(parts)), ".")).alias("registrable"), reason.alias("refused"))
     return names.join(named, column, "left").withColumn("refused", F.coalesce("refused", F.when(F.coalesce(F.col(column), F.lit("")) == "", "empty")))
 
 

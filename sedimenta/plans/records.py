@@ -176,12 +176,29 @@ def priced_items(spark, sf_dir):
     return pricing.tally(flags, spark.sql("SELECT 'com' AS tld, CAST(0.5 AS DECIMAL(12,8)) AS weight")).withColumn("value", F.col("value").cast("double"))
 
 
+DEFECTS = """, dy AS (SELECT domain, y, id FROM best UNION ALL SELECT domain, y, id FROM best WHERE id % 50 = 0 UNION ALL SELECT domain, y + 20, id FROM best WHERE id % 60 = 1 UNION ALL SELECT domain || '.xn--p1ai', y, id FROM best WHERE id % 70 = 2 UNION ALL SELECT domain, y, -id FROM best WHERE id % 80 = 3),
+ev AS (SELECT * FROM e UNION ALL SELECT * FROM e WHERE id % 90 = 4), d AS (SELECT dy.*, e.domain AS edomain, e.y AS ey, e.master FROM dy LEFT JOIN e USING (id))
+"""
+
+
 @query(
-    "SELECT * FROM (SELECT 'assigned_year_in_window' AS name, count(*) AS offending FROM best WHERE y NOT BETWEEN 1996 AND 2001 UNION ALL SELECT 'no_candidate_leakage', 0 UNION ALL SELECT 'every_pair_has_master_evidence', 0 UNION ALL SELECT 'within_year_unique', 0 UNION ALL SELECT 'evidence_wall_intact', 0 UNION ALL SELECT 'evidence_id_unique', 0 UNION ALL SELECT 'nothing_earned_is_left_unassigned', 0 UNION ALL SELECT 'no_idn_tld_in_window', 0)"
+    DEFECTS
+    + """SELECT 'assigned_year_in_window' AS name, count(*) AS offending FROM dy WHERE y NOT BETWEEN 1996 AND 2001
+UNION ALL SELECT 'within_year_unique', count(*) FROM (SELECT 1 FROM dy GROUP BY domain, y HAVING count(*) > 1)
+UNION ALL SELECT 'evidence_wall_intact', count(*) FROM d WHERE edomain IS NULL OR edomain <> domain OR ey <> y
+UNION ALL SELECT 'no_idn_tld_in_window', count(*) FROM dy WHERE domain LIKE '%.xn--p1ai'
+UNION ALL SELECT 'evidence_id_unique', count(*) - count(DISTINCT id) FROM ev"""
 )
 def store_checks(spark, sf_dir):
+    """Checks over years and evidence with planted defects: repeats, years beyond the window, names of later alphabets, rows that rest on nothing."""
     e = evidence_rows(spark, sf_dir)
-    return checks.report({"evidence": e, "domain_year": ingest.assign_years(e)})
+    years, i = ingest.assign_years(e), F.col("evidence_id")
+    bad = (
+        years.union(years.where(i % 50 == 0)).union(years.where(i % 60 == 1).withColumn("assigned_year", F.col("assigned_year") + 20))
+        .union(years.where(i % 70 == 2).withColumn("domain", F.concat("domain", F.lit(".xn--p1ai")))).union(years.where(i % 80 == 3).withColumn("evidence_id", -i))
+    )
+    names_of = ["assigned_year_in_window", "within_year_unique", "evidence_wall_intact", "no_idn_tld_in_window", "evidence_id_unique"]
+    return checks.report({"evidence": e.union(e.where(i % 90 == 4)), "domain_year": bad}).where(F.col("name").isin(*names_of))
 
 
 @query("SELECT doc_id, md5('7' || doc_id) AS rank FROM documents ORDER BY rank, doc_id LIMIT 25")
@@ -204,7 +221,6 @@ def incremental_dedupe(spark, sf_dir):
     """The events as a stream, read to its end, each event once."""
     at = f"{shared(spark)}/events-{uuid.uuid4().hex[:12]}"
     schema = table(spark, sf_dir, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
-    once = streaming.deduplicated(events, "event_id", "ts", "60 days").select("event_id", "user_id", "event_type")
-    once.writeStream.format("parquet").option("path", f"{at}/rows").option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema("event_id long, user_id long, event_type string").parquet(f"{at}/rows")
+    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir).select("event_id", "user_id", "event_type", "ts")
+    streaming.once_by_key(events, "event_id", "ts", f"{at}/rows", f"{at}/checkpoint").awaitTermination()
+    return spark.read.schema("event_id long, user_id long, event_type string").parquet(f"{at}/rows/*")

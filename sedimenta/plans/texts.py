@@ -97,9 +97,12 @@ def sample_first_n_per_reason(spark, sf_dir):
 
 @query("SELECT event_type, avg(CASE WHEN r <= 3 THEN hit END) AS newest, avg(CASE WHEN r > 3 THEN hit END) AS history FROM (SELECT event_type, CASE WHEN value >= 50 THEN 1.0 ELSE 0.0 END AS hit, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS r FROM events) GROUP BY event_type")
 def newest_vs_history_rate(spark, sf_dir):
-    w = Window.partitionBy("event_type").orderBy(F.desc("ts"), F.desc("event_id"))
-    e = table(spark, sf_dir, "events").select("event_type", F.when(F.col("value") >= 50, 1.0).otherwise(0.0).alias("hit"), F.row_number().over(w).alias("r"))
-    return e.groupBy("event_type").agg(F.avg(F.when(F.col("r") <= 3, F.col("hit"))).alias("newest"), F.avg(F.when(F.col("r") > 3, F.col("hit"))).alias("history"))
+    """The newest three by a window that stops at three a group; the rest by sums, without a window."""
+    e = table(spark, sf_dir, "events").select("event_type", "ts", "event_id", F.when(F.col("value") >= 50, 1.0).otherwise(0.0).alias("hit"))
+    new = picks.first_n(e, ["event_type"], [F.desc("ts"), F.desc("event_id")], 3).groupBy("event_type").agg(F.sum("hit").alias("new_hits"), F.count("*").alias("new_n"))
+    all_of = e.groupBy("event_type").agg(F.sum("hit").alias("hits"), F.count("*").alias("n"))
+    both = all_of.join(new, "event_type")
+    return both.select("event_type", (F.col("new_hits") / F.col("new_n")).alias("newest"), F.try_divide(F.col("hits") - F.col("new_hits"), F.col("n") - F.col("new_n")).alias("history"))
 
 
 @query("SELECT reason, count(*) AS n FROM (SELECT CASE WHEN user_id % 7 = 0 THEN 'foreign' WHEN value < 1 THEN 'too small' WHEN event_type = 'view' THEN 'not a claim' ELSE 'kept' END AS reason FROM events) GROUP BY reason")
@@ -129,19 +132,26 @@ def wilson_interval(spark, sf_dir):
     return e.select("event_type", "n", "hits", F.round((mid - half) / (1 + 3.8416 / n), 9).alias("low"), F.round((mid + half) / (1 + 3.8416 / n), 9).alias("high"))
 
 
-@query(None)
+@query(
+    r"""SELECT page_id, CASE WHEN href LIKE '//%' THEN 'https:' || href WHEN href LIKE '/%' THEN regexp_extract(url, '^[a-z]+://[^/]*') || href ELSE href END AS link FROM (SELECT page_id, url, unnest(regexp_extract_all(html, '(?is)<a\s[^>]*?href\s*=\s*"([^"]*)"', 1)) AS href FROM pages) WHERE regexp_matches(href, '^(/|https?://)')"""
+)
 def href_links(spark, sf_dir):
-    """Links of the pages, resolved against their own host when they are relative."""
-    p = table(spark, sf_dir, "pages").select("page_id", names.host(F.col("url")).alias("host"), F.explode(F.regexp_extract_all("html", F.lit(r'(?i)<a\s[^>]*?href\s*=\s*"([^"#]+)'), 1)).alias("href"))
-    return p.select("page_id", F.when(F.col("href").rlike(r"^(?i)https?://"), F.col("href")).otherwise(F.concat(F.lit("http://"), "host", "href")).alias("link"))
+    """Links of the pages, however they are quoted, resolved against the page's address; other schemes and mere fragments lead nowhere."""
+    found = F.regexp_extract_all("html", F.lit(r"""(?is)<a\s[^>]*?\bhref\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""), 1)
+    p = table(spark, sf_dir, "pages").select("page_id", "url", F.explode(found).alias("href"))
+    href = F.regexp_replace("href", r"""^["']|["']\z""", "")
+    return p.select("page_id", names.resolved(href, F.col("url")).alias("link")).where("link is not null")
 
 
 @query("SELECT a.p_partkey AS a, b.p_partkey AS b FROM part a JOIN part b ON a.p_partkey < b.p_partkey AND a.p_name <> b.p_name AND length(a.p_name) BETWEEN length(b.p_name) - 1 AND length(b.p_name) + 1 AND levenshtein(a.p_name, b.p_name) <= 1")
 def one_edit_neighbours(spark, sf_dir):
-    """Pairs one insertion, deletion or substitution apart: names meet at their shared one-letter deletions, then are verified."""
+    """Pairs one insertion, deletion or substitution apart: distinct names meet at their shared one-letter deletions and are verified; then
+    the few pairs of names are joined with the rows that have them."""
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     cuts = F.transform(F.sequence(F.lit(1), F.length("p_name")), lambda i: F.concat(F.expr("p_name").substr(F.lit(1), i - 1), F.expr("p_name").substr(i + 1, F.length("p_name"))))
-    v = p.select("p_partkey", "p_name", F.explode(F.array_distinct(F.array_append(cuts, F.col("p_name")))).alias("v"))
+    v = p.select("p_name").distinct().select("p_name", F.explode(F.array_distinct(F.array_append(cuts, F.col("p_name")))).alias("v"))
     a, b = v.alias("a"), v.alias("b")
-    out = a.join(b, (F.col("a.v") == F.col("b.v")) & (F.col("a.p_partkey") < F.col("b.p_partkey")) & (F.col("a.p_name") != F.col("b.p_name")))
-    return out.where(F.levenshtein("a.p_name", "b.p_name") <= 1).select(F.col("a.p_partkey").alias("a"), F.col("b.p_partkey").alias("b")).distinct()
+    near = a.join(b, (F.col("a.v") == F.col("b.v")) & (F.col("a.p_name") < F.col("b.p_name"))).select(F.col("a.p_name").alias("x"), F.col("b.p_name").alias("y")).distinct()
+    near = near.where(F.levenshtein("x", "y") <= 1)
+    x, y = p.select(F.col("p_partkey").alias("kx"), F.col("p_name").alias("x")), p.select(F.col("p_partkey").alias("ky"), F.col("p_name").alias("y"))
+    return near.join(x, "x").join(y, "y").select(F.least("kx", "ky").alias("a"), F.greatest("kx", "ky").alias("b"))

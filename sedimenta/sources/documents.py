@@ -260,7 +260,7 @@ def _with_header(lines: DataFrame, found: dict[str, Column]) -> DataFrame:
     for c in found.values():
         test = c.isNotNull() if test is None else test | c.isNotNull()
     heads = lines.where(test).groupBy("file_name").agg(*[F.min(c).alias(k) for k, c in found.items()])
-    return lines.join(F.broadcast(heads), "file_name", "left")
+    return lines.join(heads, "file_name", "left")
 
 
 @header

@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sedimenta.functions import names
-from sedimenta.operators import ingest
-from sedimenta.operators.store import Store, numbered, only_new
+from sedimenta.operators import ingest, picks
+from sedimenta.operators.store import Store, new_numbered, numbered, only_new
+from sedimenta.sources import files
 
 
 def arriving(spark: SparkSession, path: str, pattern: str = "*", batch_bytes: int = 16 << 20) -> DataFrame:
@@ -24,23 +25,31 @@ def arriving(spark: SparkSession, path: str, pattern: str = "*", batch_bytes: in
 
 
 def bank(store: Store, records: DataFrame, source_id: int, evidence_type: str, method: str) -> None:
-    """Kept records as evidence rows of one class, then the years of the domains that they name, in one commit."""
-    got = records.where("drop is null").withColumn("host", names.host(F.col("raw")))
-    got = names.registrable(got, "host").where("registrable is not null and year between 1996 and 2001")
+    """Kept records as evidence rows of one class, and the years of the domains that they name, in one commit; what was refused is counted
+    by reason in run_metrics. A replayed batch adds nothing."""
+    got = names.reduced(records.where("drop is null").withColumn("host", names.host(F.col("raw"))), "host")
+    reason = F.coalesce("refused", F.when(~F.coalesce(F.col("year").between(1996, 2001), F.lit(False)), "out_of_window"))
+    refused = got.select(reason.alias("reason")).where("reason is not null").groupBy("reason").agg(F.count("*").alias("n"))
+    got = got.where(reason.isNull())
     rows = got.select(
         F.col("registrable").alias("domain"), F.lit(source_id).alias("source_id"), F.col("year").alias("evidence_year"), F.lit(evidence_type).alias("evidence_type"), "evidence_value", "evidence_url",
         F.lit(method).alias("acquisition_method"), F.lit(None).cast("timestamp").alias("captured_at"), F.current_timestamp().alias("ingested_at"), F.col("file_name").alias("source_file"), F.lit(None).cast("string").alias("record_location"),
     )
-    rows = numbered(rows, ["domain", "source_id", "evidence_year", "evidence_type", "acquisition_method", "evidence_value", "evidence_url"])
+    key = ["domain", "source_id", "evidence_year", "evidence_type", "acquisition_method", "evidence_value", "evidence_url"]
+    at = store.version()[0]
     touched = rows.select("domain").distinct()
     held = store.table("evidence").join(touched, "domain", "left_semi")
-    new = only_new(ingest.class_skip(rows, held), store.table("evidence"), ["evidence_id"])
-    store.commit(append={"evidence": new})
-    both = store.table("evidence").join(touched, "domain", "left_semi")
+    new = new_numbered(ingest.class_skip(numbered(rows, key), held).drop("evidence_id"), store.table("evidence"), key)
+    both = held.unionByName(new.select(*held.columns))
     years = ingest.assign_years(both).withColumn("verified_at", F.current_timestamp())
     fresh = touched.select("domain", names.tld(F.col("domain")).alias("tld"), F.lit(source_id).alias("discovered_source"), F.current_timestamp().alias("first_seen_at"))
     untouched = store.table("domain_year").join(touched, "domain", "left_anti")
-    store.commit(append={"domain": only_new(fresh, store.table("domain"), ["domain"])}, replace={"domain_year": untouched.unionByName(years)})
+    told = F.to_json(F.struct(F.lit(source_id).alias("source_id"), F.map_from_entries(F.collect_list(F.struct("reason", "n"))).alias("refused")))
+    metrics = refused.agg(told.alias("metrics_json")).select(F.current_timestamp().alias("recorded_at"), F.lit("bank").alias("command"), F.lit(str(source_id)).alias("source"), "metrics_json")
+    store.commit(
+        append={"evidence": new, "domain": only_new(fresh, store.table("domain"), ["domain"]), "run_metrics": metrics},
+        replace={"domain_year": untouched.unionByName(years)}, since=at,
+    )
 
 
 def run(lines: DataFrame, parse: Callable[[DataFrame], DataFrame], store: Store, source: tuple[str, str, str, str], checkpoint: str) -> StreamingQuery:
@@ -58,6 +67,15 @@ def run(lines: DataFrame, parse: Callable[[DataFrame], DataFrame], store: Store,
     return lines.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def deduplicated(events: DataFrame, key: str, at: str, late: str) -> DataFrame:
-    """The first row of each key within the time that rows may be late."""
-    return events.withWatermark(at, late).dropDuplicatesWithinWatermark([key])
+def once_by_key(events: DataFrame, key: str, order: str, path: str, checkpoint: str) -> StreamingQuery:
+    """Each key's first row, written below path, however late its repeats come: a batch is deduplicated in itself and against what is there. A batch that
+    is replayed writes its own folder again, so nothing comes twice."""
+    spark, schema = events.sparkSession, events.schema
+
+    def batch(df: DataFrame, number: int) -> None:
+        mine = f"{path}/batch={number}"
+        others = [f"{path}/{n}" for n in files.names(spark, path) if n.startswith("batch=") and n != f"batch={number}"]
+        held = spark.read.schema(schema).parquet(*others) if others else spark.createDataFrame([], schema)
+        picks.first_by(df, [key], [F.col(order)]).join(held.select(key), key, "left_anti").select(*df.columns).write.mode("overwrite").parquet(mine)
+
+    return events.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -15,7 +15,8 @@ from pyspark.sql.streaming import StreamingQuery
 from sedimenta.functions import names
 from sedimenta.operators import ingest, picks
 from sedimenta.operators.store import Store, new_numbered, numbered, only_new
-from sedimenta.sources import files
+from sedimenta.sources import files, formats, scan
+from sedimenta.sources.specs import SPECS
 
 
 def arriving(spark: SparkSession, path: str, pattern: str = "*", batch_bytes: int = 16 << 20) -> DataFrame:
@@ -52,6 +53,29 @@ def bank(store: Store, records: DataFrame, source_id: int, evidence_type: str, m
     )
 
 
+def ingest_files(store: Store, key: str, path: str) -> dict[str, int]:
+    """Bank the files at path that the ledger lacks, as the source spec `key` says; a file whose contents changed under its name stops the job.
+
+    Files are digested whole, 2 GB each at most; a larger one should come in parts.
+    """
+    spark, spec = store.spark, SPECS[key]
+    source_id = store.source_id(spec.source, spec.kind)
+    found = spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("file_name"), F.sha2("content", 256).alias("sha256"))
+    new, changed = ingest.fresh_files(found.where(~F.col("file_name").endswith(".part")), store.table("ingested_file"), spec.source)
+    other = changed.first()
+    if other:
+        raise ValueError(f"{other['file_name']} of {spec.source} changed since it was read")
+    lines = scan.lines(spark, path).join(new, "file_name", "left_semi").select("value", "file_name")
+    records = spec.parse(lines).persist()
+    try:
+        bank(store, records, source_id, spec.evidence_type, spec.method)
+        rows = new.join(records.where("drop is null").groupBy("file_name").agg(F.count("*").alias("record_rows")), "file_name", "left").fillna(0, ["record_rows"])
+        store.commit(append={"ingested_file": rows.select(F.lit(spec.source).alias("source_name"), "file_name", "sha256", "record_rows", F.current_timestamp().alias("ingested_at"))})
+        return {r["reason"]: r["n"] for r in formats.drop_counts(records).collect()}
+    finally:
+        records.unpersist()
+
+
 def run(lines: DataFrame, parse: Callable[[DataFrame], DataFrame], store: Store, source: tuple[str, str, str, str], checkpoint: str) -> StreamingQuery:
     """All that has arrived is read, in batches, then the query ends. source: (name, kind, evidence type, method)."""
     name, kind, evidence_type, method = source

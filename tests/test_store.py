@@ -186,3 +186,23 @@ def test_ledger(spark):
     assert [tuple(r) for r in new.collect()] == [("b", "2")] and [tuple(r) for r in changed.collect()] == [("a", "9")]
     up = ingest.ledger_upsert(led, spark.createDataFrame([("s", "a", "9", 2, datetime.datetime(2025, 1, 1))], SCHEMAS["ingested_file"])).first()
     assert (up["sha256"], up["record_rows"]) == ("9", 7)
+
+
+def test_ingest_by_spec(spark, tmp_path):
+    from sedimenta.sources.specs import SPECS
+    from sedimenta.streaming.ingest import ingest_files
+
+    assert len(SPECS) == 76 and all(callable(s.parse) for s in SPECS.values())
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.cdx").write_text(f"k {S} http://www.a.com/ t 200 x\nk {S} http://b.sucks/ t 200 x\nk 20050203040506 http://c.com/ t 200 x\nk {S} http://d.co.uk/ t 404 x\n")
+    st = Store(spark, f"file://{tmp_path}/store")
+    counts = ingest_files(st, "early_web", f"{tmp_path}/in")
+    assert counts == {"kept": 2, "out_of_window": 1, "non_200": 1}
+    assert [r["domain"] for r in st.table("evidence").collect()] == ["a.com"] and st.table("domain").count() == 1
+    assert '"no known suffix":1' in st.table("run_metrics").first()["metrics_json"]
+    (tmp_path / "in/b.cdx").write_text(f"k {S} http://e.ru/ t 200 x\nk {S} http://www.a.com/ t 200 x\n")
+    ingest_files(st, "early_web", f"{tmp_path}/in")
+    assert sorted(r["domain"] for r in st.table("evidence").collect()) == ["a.com", "e.ru"] and st.table("ingested_file").count() == 2
+    (tmp_path / "in/b.cdx").write_text("changed\n")
+    with pytest.raises(ValueError, match="changed"):
+        ingest_files(st, "early_web", f"{tmp_path}/in")

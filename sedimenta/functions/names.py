@@ -163,8 +163,13 @@ def resolved(href: Column, page: Column) -> Column:
         .when(link.startswith("?"), F.concat(bare, link))
         .otherwise(F.concat(root, path, link))
     )
-    for _ in range(8):  # dot segments
-        joined = F.regexp_replace(joined, r"(?<![:/])/\.(?=/|\z)", "")
-        joined = F.regexp_replace(joined, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/]*)/\.\.(?=/|\z)", "$1")
-        joined = F.regexp_replace(joined, r"(?<=[^/:])/(?!\.\.?(?:/|\z))[^/?]+/\.\.(?=/|\z)", "")
+
+    def shorter(url: Column, _: Column) -> Column:
+        url = F.regexp_replace(url, r"(?<![:/])/\.(?=/|\z)", "")
+        url = F.regexp_replace(url, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/]*)/\.\.(?=/|\z)", "$1")
+        return F.regexp_replace(url, r"(?<=[^/:])/(?!\.\.?(?:/|\z))[^/?]+/\.\.(?=/|\z)", "")
+
+    # Dot segments, as often as there may be any; a fold keeps the generated code small.
+    dots = F.sequence(F.lit(1), F.size(F.split(joined, r"/\.")))
+    joined = F.when(joined.contains("/."), F.aggregate(dots, joined, shorter)).otherwise(joined)
     return F.when((link != "") & joined.rlike(r"^(?i)https?://[^/]"), joined)

@@ -769,3 +769,25 @@ def test_near_dedup_decides_by_row(spark):
     got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_copies(spark, df, "").collect()]
     assert Counter(i for i, _ in got) == Counter([3, 7, 1, None])
     assert (3, " ".join(a)) in got and (7, " ".join(b)) in got
+
+
+def test_near_dedup_compares_in_proportion_to_rows(spark, monkeypatch):
+    from sedimenta.llm import near_dedup
+
+    rnd = random.Random(4)
+    base = [f"v{rnd.randrange(9999)}" for _ in range(150)]
+    copies = [[rnd.choice("xyz") + w if rnd.random() < rate else w for w in base] for rate in [0.01] * 200 + [0.05] * 40]
+    rows = [(i, " ".join(t)) for i, t in enumerate(copies)]
+    pairs, write = [], near_dedup.materialise
+
+    def counting(df, name):
+        out = write(df, name)
+        pairs.append(out.count() if {"a", "b"} <= set(out.columns) else 0)
+        return out
+
+    monkeypatch.setattr(near_dedup, "materialise", counting)
+    found = near_dedup.near_copies(spark.createDataFrame(rows, "__row long, text string").repartition(3)).collect()
+    sets = [brute_shingles(t) for _, t in rows]
+    low = brute_components(list(range(len(rows))), lambda i, j: alike(sets[i], sets[j]))
+    assert {(r["row"], r["root"]) for r in found} == {(i, x) for i, x in enumerate(low) if low.count(x) > 1}
+    assert 0 < max(pairs) <= 10 * len(rows)

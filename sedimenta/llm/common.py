@@ -3,18 +3,26 @@
 from __future__ import annotations
 
 import ctypes
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sedimenta.sources import files
+
 #: Rows of an Arrow batch that carries texts, so that a batch of long texts stays small.
 TEXT_ROWS = 1000
 WORD_SPACE = r"[\x20\x09-\x0D]+"
+#: Ids of up to so many rows are broadcast where they tell which texts are read, so that the texts aren't shuffled.
+TOLD = 4_000_000
+#: The folders given out within each open scratch().
+_made: list[list[str]] = []
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
@@ -29,7 +37,21 @@ def shared_dir(spark: SparkSession, name: str) -> str:
             spark.sparkContext.setCheckpointDir(base)
         else:
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    if _made:
+        _made[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What shared_dir gives out within is deleted at the end: nothing that lives on may read it."""
+    _made.append([])
+    try:
+        yield
+    finally:
+        for path in _made.pop():
+            files.remove(spark, path)
 
 
 def free_name(df: DataFrame, name: str) -> str:
@@ -42,11 +64,35 @@ def free_name(df: DataFrame, name: str) -> str:
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: the lineage ends there and a lost executor costs nothing."""
-    path = shared_dir(df.sparkSession, name)
+    return written(df, shared_dir(df.sparkSession, name))
+
+
+def written(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def told(ids: DataFrame) -> DataFrame:
+    """ids (written), for a join with texts: broadcast unless they are very many."""
+    return F.broadcast(ids) if ids.count() <= TOLD else ids
+
+
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """docs with a distinct number for each row, the same whenever it is read: a row's place in its file. What isn't just a table of Parquet
+    files, each of them once, is written first."""
+    plan = docs._jdf.queryExecution().analyzed()
+    if re.fullmatch(r"Relation.*\] parquet\s*", plan.toString(), re.DOTALL):
+        paths = list(plan.relation().location().inputFiles())
+        if len(paths) == len(set(paths)):
+            meta = docs.metadataColumn("_metadata")
+            found = sorted(r[0] for r in docs.select(meta["file_path"]).distinct().collect())
+            path, number = free_name(docs, "path"), free_name(docs, "number")
+            places = docs.sparkSession.createDataFrame(list(zip(found, range(len(found)), strict=True)), f"{path} string, {number} long")
+            placed = docs.select("*", meta["file_path"].alias(path), meta["row_index"].alias(name)).join(F.broadcast(places), path)
+            return placed.select(*docs.columns, (F.shiftleft(number, 40) + F.col(name)).alias(name))
+    return materialise(docs.withColumn(name, F.monotonically_increasing_id()), "numbered")
+
+
 def small_text_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_ROWS))
 

@@ -40,3 +40,9 @@ def create_once(spark: SparkSession, path: str, text: str) -> bool:
     finally:
         out.close()
     return True
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """A file, or a folder with all that is in it; nothing happens where there is none."""
+    fs, at = _at(spark, path)
+    fs.delete(at, True)

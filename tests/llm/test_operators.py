@@ -1,6 +1,7 @@
 """Operators on small fixtures with nulls, empty and very long texts, ties, repeated rows and clashing extra columns, against brute force."""
 
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -791,3 +792,19 @@ def test_near_dedup_compares_in_proportion_to_rows(spark, monkeypatch):
     low = brute_components(list(range(len(rows))), lambda i, j: alike(sets[i], sets[j]))
     assert {(r["row"], r["root"]) for r in found} == {(i, x) for i, x in enumerate(low) if low.count(x) > 1}
     assert 0 < max(pairs) <= 10 * len(rows)
+
+
+@pytest.mark.parametrize("written", [True, False])
+def test_near_dedup_leaves_no_intermediates(spark, tmp_path, written):
+    shared = spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
+    words = [f"x{i}" for i in range(100)]
+    rows = [(i, " ".join([*words, *["end"] * (i % 2), *[f"y{i}-{k}" for k in range(100 * (i > 1))]]), "en", "s", 0) for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    if written:
+        df.write.parquet(f"{tmp_path}/docs")
+        df = spark.read.parquet(f"{tmp_path}/docs")
+    before = set(os.listdir(shared)) if os.path.isdir(shared) else set()
+    kept = corpus_pipeline.drop_near_copies(spark, df, "")
+    left = sorted(name.rsplit("-", 1)[0] for name in set(os.listdir(shared)) - before)
+    assert left == (["near-copies"] if written else ["near-copies", "numbered"])
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 2, 3, 4, 5]

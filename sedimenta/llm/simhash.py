@@ -40,7 +40,11 @@ def fingerprint(data: bytes, size: int = SHINGLE) -> int:
     if not words:
         return 0
     grams = map(b" ".join, zip(*(words[i:] for i in range(size)), strict=False)) if len(words) > size else [b" ".join(words)]
-    h = np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(SEED)), np.uint64)
+    return majority(np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(SEED)), np.uint64))
+
+
+def majority(h: np.ndarray) -> int:
+    """The bits set in over half of h."""
     counts = np.zeros(BITS, np.int64)
     for at in range(0, len(h), 1 << 16):
         bits = np.unpackbits(h[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")

@@ -808,3 +808,19 @@ def test_near_dedup_leaves_no_intermediates(spark, tmp_path, written):
     left = sorted(name.rsplit("-", 1)[0] for name in set(os.listdir(shared)) - before)
     assert left == (["near-copies"] if written else ["near-copies", "numbered"])
     assert sorted(r["doc_id"] for r in kept.collect()) == [0, 2, 3, 4, 5]
+
+
+def test_near_dedup_has_candidates_by_anchors(spark):
+    from sedimenta.llm import near_dedup
+
+    rnd = random.Random(6)
+    texts = []
+    for _ in range(30):
+        base = [f"v{rnd.randrange(9999)}" for _ in range(600)]
+        texts += [" ".join(base), " ".join([*base, "end"])]
+    df = spark.createDataFrame(list(enumerate(texts)), "__row long, text string").repartition(3)
+    base = near_dedup.profiles(df, np.array([], np.int64), np.array([], np.int64))
+    got = {(r["a"], r["b"]) for r in near_dedup.by_anchor(base.select("row", "fp")).collect()}
+    fp = [simhash.fingerprint(t.encode(), 5) for t in texts]
+    low = brute_components(list(range(len(fp))), lambda i, j: (fp[i] ^ fp[j]).bit_count() <= 2)
+    assert got == {(x, i) for i, x in enumerate(low) if x < i} and len(got) > 5

@@ -101,14 +101,16 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]]) -> DataFrame:
-    """mapInArrow whose state is made once for each task by make()."""
+def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], after: Callable[[], None] | None = None) -> DataFrame:
+    """mapInArrow whose state is made once for each task by make(); after() runs at the task's end."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
         for batch in batches:
             if batch.num_rows:
                 yield step(batch)
+        if after:
+            after()
 
     return df.mapInArrow(run, schema)
 

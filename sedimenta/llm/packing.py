@@ -18,7 +18,8 @@ from __future__ import annotations
 import json
 import re
 import zlib
-from functools import lru_cache
+from collections.abc import Iterator
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sedimenta.llm.bpe import Merges
-from sedimenta.llm.common import Memo, map_rows, materialise, read, small_text_batches, texts
+from sedimenta.llm.common import Memo, map_rows, materialise, read, small_text_batches, texts, trim
 
 SIZE = 2048
 END = 0
@@ -40,8 +41,26 @@ LARGE = 0.12
 #: Characters whose case, class and normal form are plain: printable ASCII, tab and line ends, Latin letters with marks.
 PLAIN = "\t\n\r\x20-\x7E\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u0148\u014A-\u017E"
 ODD = re.compile(f"[^{PLAIN}]|<\\|")
-WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
+#: Of lower-cased plain characters: letters, a digit, what follows an apostrophe, marks.
+WORD = re.compile(r"[a-z\u00DF-\u00F6\u00F8-\u017E]+|[0-9]|'(?:[stmd]|re|ve|ll)|[!-/:-@\[-`{-~]+")
 CLOSE = "</w>"
+#: Letters of texts that are cut into words at a time (a longer text alone), and of the words kept with their ids: a Python worker stays small
+#: whatever the texts are.
+CUT = 1_000_000
+KEPT = 4_000_000
+
+
+def by_letters(batch: list[str], most: int = CUT) -> Iterator[list[str]]:
+    """The batch's texts in order, as many together as have `most` letters."""
+    some, held = [], 0
+    for text in batch:
+        if some and held + len(text) > most:
+            yield some
+            some, held = [], 0
+        some.append(text)
+        held += len(text)
+    if some:
+        yield some
 
 
 class WordTokenizer:
@@ -53,9 +72,7 @@ class WordTokenizer:
     """
 
     def __init__(self, path: str, most: int = 400_000):
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
+        self.path = path
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)["model"]
         if spec["end_of_word_suffix"] != CLOSE or spec["continuing_subword_prefix"] or spec["byte_fallback"] or spec["ignore_merges"]:
@@ -71,12 +88,31 @@ class WordTokenizer:
         self.final = np.array([ids[letter[b] + CLOSE] for b in range(256)])
         self.most = most
         self.known: dict[str, bytes] = {}
-        self.odd: dict[str, bytes] = Memo(lambda run: np.array(self.library.encode(run, add_special_tokens=False).ids, "<u4").tobytes(), 50_000)
+        self.letters = 0  # of known
+        self.odd: dict[str, bytes] = Memo(self.by_library, 50_000)
+        self.odd_letters = 0
+
+    @cached_property
+    def library(self):
+        """Read only where a run needs it."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
+    def by_library(self, run: str) -> bytes:
+        self.odd_letters += len(run)
+        if self.odd_letters > KEPT:
+            self.odd.clear()
+            self.odd_letters = len(run)
+        return np.array(self.library.encode(run, add_special_tokens=False).ids, "<u4").tobytes()
 
     def learn(self, words: set[str]) -> None:
         new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > self.most:
+        more = sum(map(len, new))
+        if len(self.known) + len(new) > self.most or self.letters + more > KEPT:
             self.known = {w: self.known[w] for w in words if w in self.known}
+            self.letters = sum(map(len, self.known))
+        self.letters += more
         for at in range(0, len(new), 100_000):
             part = [w.encode() for w in new[at : at + 100_000]]
             size = np.array([len(w) for w in part])
@@ -92,9 +128,9 @@ class WordTokenizer:
     def encode(self, batch: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         out = []
-        for at in range(0, len(batch), 200):
+        for some in by_letters(batch):
             cut: list[list[list[str] | bytes]] = []
-            for text in batch[at : at + 200]:
+            for text in some:
                 if not ODD.search(text):
                     cut.append([WORD.findall(text.lower())])
                     continue
@@ -145,7 +181,7 @@ def pieces(docs: DataFrame, path: str, size: int = SIZE) -> DataFrame:
 
         return step
 
-    return map_rows(docs.select("doc_id", "text"), PIECES, make)
+    return map_rows(docs.select("doc_id", "text"), PIECES, make, trim)
 
 
 def knapsack(sizes: np.ndarray, prices: np.ndarray, size: int) -> list[int]:
@@ -297,17 +333,18 @@ def plan(histogram: dict[int, int], size: int = SIZE, groups: int = GROUPS) -> l
 def pack(docs: DataFrame, path: str, size: int = SIZE) -> DataFrame:
     spark = docs.sparkSession
     cut = materialise(pieces(docs, path, size), "pack-pieces")
-    # A task's count of a length is small data: at most `size` rows a task.
-    counts = materialise(cut.groupBy("length", "task").agg(F.count(F.lit(1)).alias("n")), "pack-counts")
-    histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most `size` rows
+    histogram = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most `size` rows
     runs: dict[int, list[tuple[int, ...]]] = {}
     for n, *run in plan(histogram, size):
         runs.setdefault(n, []).append(tuple(run))
     table = {n: np.array(sorted(r), np.int64) for n, r in runs.items()}
+    # A task's count of a length is small data, at most `size` rows a task, and two columns of the pieces are read again for it: each table
+    # that is written costs every task a file and the processes that Hadoop starts to set its mode.
+    counts = cut.groupBy("length", "task").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
-    starts = materialise(counts.select("length", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")), "pack-starts")
-    # The starts grow with the number of tasks, so they are merged and not broadcast.
-    ranked = cut.join(starts.hint("merge"), ["length", "task"]).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("base") + F.col("nth")).alias("rank"))
+    starts = counts.select("length", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    # The starts grow with the number of tasks, so they are dealt out and not broadcast; the pieces needn't be sorted to meet them.
+    ranked = cut.join(starts.hint("shuffle_hash"), ["length", "task"]).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("base") + F.col("nth")).alias("rank"))
     placed = spark.sparkContext.broadcast(table)  # bounded by the number of runs, which follows from `size` and the groups
 
     def make():

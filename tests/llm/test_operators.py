@@ -304,6 +304,47 @@ def test_tokenizer_odd_characters():
         assert np.frombuffer(data, "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids
 
 
+def test_packing_writes_only_its_pieces(spark, sf, monkeypatch):
+    written = []
+    monkeypatch.setattr(packing, "materialise", lambda df, name, f=packing.materialise: written.append(name) or f(df, name))
+    packing.op5_packing(spark, sf)
+    assert written == ["pack-pieces"]
+
+
+def test_tokenizer_stays_small(monkeypatch):
+    import tracemalloc
+
+    monkeypatch.setattr(packing, "KEPT", 40_000, raising=False)
+    own = packing.WordTokenizer(packing.vocabulary())
+    assert "library" not in vars(own)  # plain texts don't need it
+    rnd = random.Random(4)
+    word = lambda: "".join(rnd.choices("abcdefghij", k=3000))
+    for _ in range(30):
+        own.encode([f"the {word()} end"])
+    assert sum(map(len, own.known)) <= 40_000  # letters are bounded, not only words
+    for _ in range(30):
+        own.encode([f"\u0370{word()}"])
+    assert sum(map(len, own.odd)) <= 40_000
+    text = "of the time " * 10_000
+    own.encode([text])
+    tracemalloc.start()
+    got = own.encode([text] * 60)
+    peak = tracemalloc.get_traced_memory()[1] - sum(map(len, got))
+    tracemalloc.stop()
+    assert peak < 60_000_000  # not all texts' words at once
+    assert len(set(got)) == 1
+
+
+def test_tokenizer_plain_characters():
+    from tokenizers import Tokenizer
+
+    tok, own = Tokenizer.from_file(packing.vocabulary()), packing.tokenizer(packing.vocabulary())
+    plain = [chr(c) for c in range(0x180) if not packing.ODD.search(chr(c))]
+    pairs = [a + b for a in plain for b in plain] + [a + b + c for a in "a'. é" for b in plain for c in ("s", "'ll", "'m")]
+    for text, data in zip(pairs, own.encode(pairs), strict=True):
+        assert np.frombuffer(data, "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids
+
+
 def test_html_extract(spark, tmp_path):
     html = '<html><head><title>t</title><style>p{}</style></head><body><header>Site</header><nav><ul><li><a href="/a">One</a></li></ul></nav><div class="ad">Buy it</div><article><h1>Head  &amp; line</h1><p>First\n <b>bold</b> para&nbsp;graph of text.<p>Second &lt;one&gt; here<br>goes on.</p><form>mail</form><div class="comments"><p>Nice!</p></div></article><footer>f</footer></body></html>'
     rows = [(1, "u", html), (2, "u", None), (3, "u", ""), (4, "u", "<script>x</script>"), (1, "u", html)]
